@@ -1,4 +1,8 @@
-"""Edge lists as CSV with a header."""
+"""Edge lists as CSV with a header.
+
+Quotes inside a quoted field are doubled, as common CSV writers do it, so titles with quotes
+or backslashes survive.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +12,13 @@ from pyspark.sql import functions as F
 
 def read_edge_csv(spark: SparkSession, path: str) -> DataFrame:
     """``src, dst`` from the columns named ``source`` and ``target``, wherever they stand."""
-    rows = spark.read.option("header", True).csv(path)
+    rows = spark.read.option("header", True).option("escape", '"').csv(path)
     return rows.select(F.col("source").alias("src"), F.col("target").alias("dst"))
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
     """Header CSV, one file per partition: nothing is gathered into one task."""
-    frame.write.mode("overwrite").option("header", True).csv(path)
+    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_small_csv(frame: DataFrame, path: str) -> None:
