@@ -51,24 +51,19 @@ def label_propagation_rounds(
     history = []
     for done in range(1, max_iter + 1):
         # counting by (vertex, label) first keeps a vertex with many links off a single task
-        votes = (
-            spread(state.select("vid", "parts", "label"), adjacent)
-            .groupBy(F.col("target").alias("vid"), "label")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
+        votes = spread(state, adjacent, "label").groupBy("vid", "label").count()
         winners = votes.groupBy("vid").agg(
-            F.min_by("label", F.struct(-F.col("n"), "label")).alias("winner")
+            F.expr("min_by(label, struct(-count, label)) AS winner")
         )
-        before = state.select("vid", "parts", F.col("label").alias("previous"))
         state = scratch.write(
-            before.join(winners, "vid", "left").select(
-                "vid", "parts", F.coalesce("winner", "previous").alias("label"), "previous"
+            state.join(winners, "vid", "left").selectExpr(
+                "vid", "parts", "coalesce(winner, label) AS label", "label AS previous"
             ),
             f"labels-{done}",
         )
         scratch.drop(f"labels-{done - 1}")
-        changed, left = state.agg(
-            F.count_if(F.col("label") != F.col("previous")), F.count_distinct("label")
+        changed, left = state.selectExpr(
+            "count_if(label <> previous)", "count(DISTINCT label)"
         ).first()
         history.append((done, changed, left))
         if not changed:

@@ -36,11 +36,11 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         done = len(ends)
         hooks = scratch.write(_hooks(pairs), f"hooks-{done}")
-        size = hooks.agg(F.count("u").alias("n"), F.max("degree").alias("degree")).first()
-        if not size["n"]:
+        n, degree = hooks.selectExpr("count(u)", "max(degree)").first()
+        if not n:
             break
-        ends.append(_shorten(scratch, hooks.select("u", "to"), size["n"], f"ends-{done}"))
-        hot = heaviest(hooks, "u", "degree", at_most=size["degree"])
+        ends.append(_shorten(scratch, hooks.select("u", "to"), n, f"ends-{done}"))
+        hot = heaviest(hooks, "u", "degree", at_most=degree)
         pairs = scratch.write(_rewritten(pairs, ends[-1], hot).distinct(), f"pairs-{done + 1}")
         scratch.drop(f"pairs-{done}", f"hooks-{done}")
 
@@ -65,25 +65,16 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _canonical(pairs: DataFrame) -> DataFrame:
     """Larger end first, self-loops left out."""
-    return pairs.where("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    )
+    return pairs.where("u <> v").selectExpr("greatest(u, v) AS u", "least(u, v) AS v")
 
 
 def _hooks(pairs: DataFrame) -> DataFrame:
     """``u, to, degree``: each vertex with its smallest neighbour, or itself if smaller."""
-    both = pairs.select(
-        F.explode(
-            F.array(
-                F.struct("u", "v"),
-                F.struct(F.col("v").alias("u"), F.col("u").alias("v")),
-            )
-        ).alias("pair")
-    ).select("pair.*")
     return (
-        both.groupBy("u")
-        .agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("degree"))
-        .select("u", F.least("u", "v").alias("to"), "degree")
+        pairs.selectExpr("inline(array(struct(u, v), struct(v AS u, u AS v)))")
+        .groupBy("u")
+        .agg(F.expr("min(v) AS v"), F.expr("count(1) AS degree"))
+        .selectExpr("u", "least(u, v) AS to", "degree")
     )
 
 
@@ -92,8 +83,8 @@ def _followed(steps: DataFrame, more: DataFrame, n: int, how: str = "inner") ->
 
     Many of the ``n`` vertices may point to the same one, the end of a giant component.
     """
-    users = steps.groupBy("to").agg(F.count(F.lit(1)).alias("n"))
-    moved = more.select(F.col("u").alias("to"), F.col("to").alias("next"))
+    users = steps.groupBy("to").agg(F.expr("count(1) AS n"))
+    moved = more.selectExpr("u AS to", "to AS next")
     return salted_join(steps, moved, "to", heaviest(users, "to", "n", at_most=n), how)
 
 
@@ -102,26 +93,20 @@ def _shorten(scratch: Scratch, hooks: DataFrame, n: int, name: str) -> DataFrame
     jump = 0
     while True:
         jumped = scratch.write(_followed(hooks, hooks, n), f"{name}/{jump}")
+        scratch.drop(f"{name}/{jump - 1}")
         # a chain's end leads to itself, so pointers that stand still have arrived
         if jumped.where("next <> to").isEmpty():
             return jumped.select("u", "to")
-        hooks = jumped.select("u", F.col("next").alias("to"))
-        scratch.drop(f"{name}/{jump - 1}")
+        hooks = jumped.selectExpr("u", "next AS to")
         jump += 1
 
 
 def _rewritten(pairs: DataFrame, ends: DataFrame, hot: DataFrame | None) -> DataFrame:
     """The pairs between chain ends that still differ."""
-    upper = salted_join(pairs, ends.select("u", F.col("to").alias("a")), "u", hot)
-    lower = ends.select(F.col("u").alias("v"), F.col("to").alias("b"))
-    return _canonical(
-        salted_join(
-            upper.select("a", "v"),
-            lower,
-            "v",
-            None if hot is None else hot.withColumnRenamed("u", "v"),
-        ).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    )
+    upper = salted_join(pairs, ends.selectExpr("u", "to AS a"), "u", hot).select("a", "v")
+    lower = ends.selectExpr("u AS v", "to AS b")
+    hot = None if hot is None else hot.withColumnRenamed("u", "v")
+    return _canonical(salted_join(upper, lower, "v", hot).selectExpr("a AS u", "b AS v"))
 
 
 def min_label_rounds(
@@ -136,17 +121,8 @@ def min_label_rounds(
     spark = vertices.sparkSession
     scratch = Scratch(spark)
     index = index_vertices(scratch, vertices)
-    links = (
-        encode_edges(edges, index)
-        .select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("u").alias("vid"), F.col("v").alias("target")),
-                    F.struct(F.col("v").alias("vid"), F.col("u").alias("target")),
-                )
-            ).alias("link")
-        )
-        .select("link.*")
+    links = encode_edges(edges, index).selectExpr(
+        "inline(array(struct(u AS vid, v AS target), struct(v AS vid, u AS target)))"
     )
     degrees = index.table.select(
         "vid", (F.col("out_degree") + F.col("in_degree")).alias("degree")
@@ -157,22 +133,19 @@ def min_label_rounds(
     state = degrees.select("vid", part_count("degree").alias("parts"), F.col("vid").alias("label"))
     history = []
     for done in range(1, max_iter + 1):
-        heard = spread(state.select("vid", "parts", "label"), adjacent).select(
-            F.col("target").alias("vid"), "label"
-        )
-        before = state.select("vid", "parts", "label", F.col("label").alias("previous"))
+        heard = spread(state, adjacent, "label", "NULL AS parts", "NULL AS previous")
         state = scratch.write(
-            heard.unionByName(before, allowMissingColumns=True)
+            heard.union(state.selectExpr("vid", "label", "parts", "label"))
             .groupBy("vid")
             .agg(
-                F.max("parts").alias("parts"),
-                F.min("label").alias("label"),
-                F.max("previous").alias("previous"),
+                F.expr("max(parts) AS parts"),
+                F.expr("min(label) AS label"),
+                F.expr("max(previous) AS previous"),
             ),
             f"labels-{done}",
         )
         scratch.drop(f"labels-{done - 1}")
-        changed = state.agg(F.count_if(F.col("label") != F.col("previous"))).first()[0]
+        changed = state.selectExpr("count_if(label <> previous)").first()[0]
         history.append((done, changed))
         if not changed:
             break

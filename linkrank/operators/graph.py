@@ -34,14 +34,9 @@ def vertex_degrees(edges: DataFrame) -> DataFrame:
 
     A null endpoint is a vertex, but as a null key it is nobody's neighbour: degrees 0.
     """
-    ends = edges.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("src").alias("id"), F.lit(1).alias("o"), F.lit(0).alias("i")),
-                F.struct(F.col("dst").alias("id"), F.lit(0).alias("o"), F.lit(1).alias("i")),
-            )
-        ).alias("end")
-    ).select("end.*")
+    ends = edges.selectExpr(
+        "inline(array(struct(src AS id, 1 AS o, 0 AS i), struct(dst AS id, 0 AS o, 1 AS i)))"
+    )
     known = F.col("id").isNotNull()
     return (
         ends.groupBy("id")
@@ -79,15 +74,9 @@ def undirected_edges(edges: DataFrame) -> DataFrame:
     """Both directions of every edge between known vertices, once each: ``v1, v2``."""
     return (
         edges.dropna(subset=["src", "dst"])
-        .select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("src").alias("v1"), F.col("dst").alias("v2")),
-                    F.struct(F.col("dst").alias("v1"), F.col("src").alias("v2")),
-                )
-            ).alias("pair")
+        .selectExpr(
+            "inline(array(struct(src AS v1, dst AS v2), struct(dst AS v1, src AS v2)))"
         )
-        .select("pair.*")
         .distinct()
     )
 

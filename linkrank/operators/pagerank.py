@@ -53,9 +53,7 @@ def pagerank_rounds(
         state = scratch.write(_round(state, adjacent, n, damping), f"ranks-{done}")
         scratch.drop(f"ranks-{done - 1}")
         if done == 1 or done % report_every == 0:
-            seen = state.agg(
-                F.max("rank"), F.sum(F.abs(F.col("rank") - F.col("previous")))
-            ).first()
+            seen = state.selectExpr("max(rank)", "sum(abs(rank - previous))").first()
             history.append((done, *seen))
             if tol is not None and seen[1] is not None and seen[1] < tol:
                 break
@@ -76,18 +74,18 @@ def _round(state: DataFrame, adjacent: DataFrame, n: int, damping: float) -> Dat
     The vertices themselves are united with the shares they receive, so those without
     in-links are kept by the one aggregate, and no join is needed for them.
     """
-    shares = spread(state.select("vid", "parts", "rank"), adjacent).select(
-        F.col("target").alias("vid"), (F.col("rank") / F.col("degree")).alias("share")
+    shares = spread(
+        state, adjacent, "rank / degree AS share", "NULL AS parts", "NULL AS previous"
     )
-    before = state.select("vid", "parts", F.col("rank").alias("previous"))
-    received = F.coalesce(F.sum("share"), F.lit(0.0))
     return (
-        shares.unionByName(before, allowMissingColumns=True)
+        shares.union(state.selectExpr("vid", "NULL", "parts", "rank"))
         .groupBy("vid")
         .agg(
-            F.max("parts").alias("parts"),
-            (F.lit((1.0 - damping) / n) + F.lit(damping) * received).alias("rank"),
-            F.max("previous").alias("previous"),
+            F.expr("max(parts) AS parts"),
+            F.expr(
+                f"{(1.0 - damping) / n!r}D + {damping!r}D * coalesce(sum(share), 0D) AS rank"
+            ),
+            F.expr("max(previous) AS previous"),
         )
     )
 

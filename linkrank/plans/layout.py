@@ -95,17 +95,18 @@ def _partitions(frame: DataFrame, n_links: int) -> int:
     return max(min(session, cores), -(-n_links // LINKS_PER_PARTITION), 1)
 
 
-def spread(state: DataFrame, adjacent: DataFrame) -> DataFrame:
-    """Send every state row along its vertex's links: one row per link, in ``target``.
+def spread(state: DataFrame, adjacent: DataFrame, *columns: str) -> DataFrame:
+    """Send every state row along its vertex's links: one row per link.
 
-    ``state`` has ``vid`` and ``parts``; a row is repeated once per adjacency row.
+    ``state`` has ``vid`` and ``parts``; a row is repeated once per adjacency row. The result
+    has the link's other end as ``vid`` and the given expressions over the sender's columns
+    and its ``degree``.
     """
     return (
-        state.where(F.col("parts") > 0)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        state.where("parts > 0")
+        .selectExpr("*", "explode(sequence(0, parts - 1)) AS part")
         .join(adjacent, ["vid", "part"])
-        .withColumn("target", F.explode("targets"))
-        .drop("targets", "part")
+        .selectExpr("explode(targets) AS vid", *columns)
     )
 
 
