@@ -1,0 +1 @@
+"""Link-graph analytics as Spark DataFrame operators."""
