@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from linkrank import operators as g  # noqa: E402
-from registry.queries import QUERIES, graph  # noqa: E402
+from linkrank.sources import parse_link_dump  # noqa: E402
+from registry.queries import graph, write_dump  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -62,7 +63,8 @@ def main() -> None:
     timed("shortest_path", lambda: g.shortest_path(parts[1], "1", "17"))
     timed("distance_to_target", lambda: g.distances_to(parts[1], "1"))
     timed("top_by_metric", lambda: g.top_by_metric(g.rank_degree_profile(parts[0], ranks)))
-    timed("parse_link_dump", lambda: QUERIES["parse_link_dump"](spark, FOLDER))
+    dump = write_dump(spark, FOLDER)
+    timed("parse_link_dump", lambda: parse_link_dump(spark, dump))
     print(
         json.dumps(
             {

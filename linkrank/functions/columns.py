@@ -14,8 +14,12 @@ def part_count(degree: Column | str) -> Column:
 
 
 def salt_of(buckets: Column, *columns: str) -> Column:
-    """A bucket in [0, buckets) that depends only on the row, so a retried task repeats it."""
-    return F.pmod(F.xxhash64(*columns), buckets).cast("int")
+    """A bucket in [0, buckets) from a row's columns and the partition it is read from.
+
+    The partition spreads even rows that are copies of each other. A retried task has the
+    same partition, so it repeats its choice.
+    """
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), buckets).cast("int")
 
 
 def authority_score(in_degree: Column, hub_weight: Column) -> Column:

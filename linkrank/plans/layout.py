@@ -73,8 +73,8 @@ def encode_edges(edges: DataFrame, index: VertexIndex) -> DataFrame:
 def adjacency(links: DataFrame, n_links: int) -> DataFrame:
     """Group ``vid, target, degree`` into rows ``vid, part, degree, targets`` and keep them.
 
-    A vertex has one row per ``LINKS_PER_PART`` links, chosen by a hash of the target, so a
-    row stays small and a hub is spread over partitions. The rows are persisted partitioned
+    A vertex has one row per ``LINKS_PER_PART`` links, so a row stays small and a hub, or a
+    link repeated many times, is spread over partitions. The rows are persisted partitioned
     and sorted by (vid, part): a round only moves the vertex state, never the links.
     """
     return (

@@ -35,8 +35,8 @@ def salted_join(
 ) -> DataFrame:
     """Join ``rows`` to ``table`` (one row per key), splitting the keys listed in ``hot``.
 
-    Rows of a hot key go to one of its buckets by a hash of their other columns; the one
-    table row is repeated per bucket. All other keys have a single bucket. ``rows`` is
+    Rows of a hot key go to one of its buckets, copies of one row too; the one table row is
+    repeated per bucket. All other keys have a single bucket. ``rows`` is
     evaluated once, and the broadcast holds at most ``HOT_KEYS`` rows.
     """
     if hot is None:

@@ -27,22 +27,31 @@ def parse_link_dump(spark: SparkSession, path: str) -> DataFrame:
     links = lines.select(
         F.explode(F.regexp_extract_all("value", F.lit(TUPLE), F.lit(0))).alias("link")
     )
+    # before the first ,' stand the ids, after the last ', the other namespace
     return (
-        links.where(
-            (_group(2).cast("bigint") == 0) & (_group(4).cast("bigint") == 0)
-        ).select(
-            _group(1).cast("bigint").alias("source_id"),
+        links.selectExpr(
+            "link",
+            """substring_index(link, ",'", 1) AS head""",
+            """substring_index(link, "',", -1) AS tail""",
+        )
+        .where(
+            "CAST(substring_index(head, ',', -1) AS BIGINT) = 0"
+            " AND CAST(rtrim(')', tail) AS BIGINT) = 0"
+        )
+        .selectExpr(
+            "CAST(substring(substring_index(head, ',', 1), 2) AS BIGINT) AS source_id",
+            "substring(link, length(head) + 3, length(link) - length(head) - length(tail) - 4)"
+            " AS title",
+        )
+        .select(
+            "source_id",
             F.replace(
-                F.replace(_group(3), F.lit("\\'"), F.lit("'")), F.lit("\\\\"), F.lit("\\")
+                F.replace("title", F.lit("\\'"), F.lit("'")), F.lit("\\\\"), F.lit("\\")
             ).alias("target_title"),
         )
     )
 
 
-def _group(number: int):
-    return F.regexp_extract("link", TUPLE, number)
-
-
 def resolve_page_ids(links: DataFrame, pages: DataFrame) -> DataFrame:
     """``src, dst`` by title: ``links`` from a dump with their source ids looked up in
     ``pages`` (``id, title``, one row per id). Links from unknown pages drop out."""

@@ -52,7 +52,7 @@ def read_edge_csv(spark, folder):
     return s.read_edge_csv(spark, path)
 
 
-def dump_links(spark: SparkSession, folder: str) -> DataFrame:
+def write_dump(spark: SparkSession, folder: str) -> str:
     """A dump text of the order lines: comments, other statements, escapes, namespaces."""
     part = F.concat(F.lit("Part's_\\"), F.col("l_partkey"), F.lit("_(7,0,"))
     supplier = F.concat(F.lit('Supplier_"'), F.col("l_suppkey"), F.lit('"'))
@@ -76,7 +76,11 @@ def dump_links(spark: SparkSession, folder: str) -> DataFrame:
     text = table(spark, folder, "lineitem").select(F.explode(lines).alias("value"))
     path = Scratch(spark).folder
     text.write.option("compression", "gzip").text(path)
-    return s.parse_link_dump(spark, path)
+    return path
+
+
+def dump_links(spark: SparkSession, folder: str) -> DataFrame:
+    return s.parse_link_dump(spark, write_dump(spark, folder))
 
 
 def edge_csv_sink(spark, folder):
