@@ -35,14 +35,14 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     ends = []
     while True:
         done = len(ends)
-        hooks = scratch.write(_hooks(pairs), f"hooks-{done}")
+        hooks = scratch.write(_hooks(pairs), f"ends-{done}/hooks")
         n, degree = hooks.selectExpr("count(u)", "max(degree)").first()
         if not n:
             break
-        ends.append(_shorten(scratch, hooks.select("u", "to"), n, f"ends-{done}"))
+        ends.append(_shorten(scratch, hooks, n, f"ends-{done}"))
         hot = heaviest(hooks, "u", "degree", at_most=degree)
         pairs = scratch.write(_rewritten(pairs, ends[-1], hot).distinct(), f"pairs-{done + 1}")
-        scratch.drop(f"pairs-{done}", f"hooks-{done}")
+        scratch.drop(f"pairs-{done}")
 
     labels = index.table.select("vid", F.col("vid").alias("label"))
     if ends:
@@ -58,8 +58,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     labels = scratch.write(labels, "labels")
     named = name_labels(labels, index).withColumnRenamed("label", "component")
     result = scratch.write(named, "result")
-    scratch.drop("index", "labels", f"pairs-{len(ends)}", f"hooks-{len(ends)}")
-    scratch.drop(*(f"ends-{done}" for done in range(len(ends))))
+    scratch.drop("index", "labels", f"pairs-{len(ends)}")
+    scratch.drop(*(f"ends-{done}" for done in range(len(ends) + 1)))
     return result
 
 
@@ -89,16 +89,22 @@ def _followed(steps: DataFrame, more: DataFrame, n: int, how: str = "inner") ->
 
 
 def _shorten(scratch: Scratch, hooks: DataFrame, n: int, name: str) -> DataFrame:
-    """Pointer doubling until every vertex points to the end of its hook chain."""
+    """Pointer doubling until every vertex points to the end of its hook chain.
+
+    A chain's end leads to itself, so pointers that stand still have arrived; only the
+    others are followed further.
+    """
+    arrived = hooks.where("to = u").select("u", "to")
+    moving = hooks.where("to <> u").select("u", "to")
     jump = 0
-    while True:
-        jumped = scratch.write(_followed(hooks, hooks, n), f"{name}/{jump}")
-        scratch.drop(f"{name}/{jump - 1}")
-        # a chain's end leads to itself, so pointers that stand still have arrived
-        if jumped.where("next <> to").isEmpty():
-            return jumped.select("u", "to")
-        hooks = jumped.selectExpr("u", "next AS to")
+    while not moving.isEmpty():
+        jumped = scratch.write(
+            _followed(moving, arrived.union(moving), n), f"{name}/{jump}"
+        )
+        arrived = arrived.union(jumped.where("next = to").select("u", "to"))
+        moving = jumped.where("next <> to").selectExpr("u", "next AS to")
         jump += 1
+    return arrived
 
 
 def _rewritten(pairs: DataFrame, ends: DataFrame, hot: DataFrame | None) -> DataFrame:
