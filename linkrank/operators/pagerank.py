@@ -49,6 +49,7 @@ def pagerank_rounds(
         "vid", part_count("out_degree").alias("parts"), F.lit(1.0 / n).alias("rank")
     )
     history = []
+    done = 0
     for done in range(1, iterations + 1):
         state = scratch.write(_round(state, adjacent, n, damping), f"ranks-{done}")
         scratch.drop(f"ranks-{done - 1}")
@@ -64,7 +65,7 @@ def pagerank_rounds(
         "result",
     )
     adjacent.unpersist()
-    scratch.drop("index", *(f"ranks-{done}" for done in range(1, iterations + 1)))
+    scratch.drop("index", f"ranks-{done}")
     return ranks, spark.createDataFrame(history, HISTORY)
 
 

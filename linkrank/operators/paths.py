@@ -11,7 +11,7 @@ from linkrank.operators.graph import out_degrees
 from linkrank.plans import Scratch, heaviest, salted_join
 
 BROADCAST_BYTES = 32 * 1024 * 1024  # largest frontier sent whole to every executor
-LEVEL = "node string, parent string"
+LEVEL = "node string, parent string, depth int"
 
 
 @dataclass
@@ -30,7 +30,7 @@ class _Search:
 
     def start(self, source: str) -> None:
         spark = self.scratch.spark
-        self.scratch.write(spark.createDataFrame([(source, None)], LEVEL), "level-0")
+        self.scratch.write(spark.createDataFrame([(source, None, 0)], LEVEL), "level-0")
         self.frontier_bytes = 0
 
     def advance(self, target: str | None = None) -> tuple[int, bool]:
@@ -51,6 +51,7 @@ class _Search:
         if first < depth:
             known = self.level(*range(first, depth)).select("node")
             reached = reached.join(known, "node", "left_anti")
+        reached = reached.select("node", "parent", F.lit(depth).alias("depth"))
         found = self.scratch.write(reached, f"level-{depth}")
         size, self.frontier_bytes, hits = found.agg(
             F.count(F.lit(1)),
@@ -119,13 +120,9 @@ def distances_to(edges: DataFrame, target: str, max_depth: int | None = None) ->
     while max_depth is None or len(search.sizes) < max_depth:
         if not search.advance()[0]:
             break
-    levels = [
-        search.level(depth).select(F.col("node").alias("id"), F.lit(depth).alias("hops"))
-        for depth in range(len(search.sizes) + 1)
-    ]
-    distances = levels[0]
-    for level in levels[1:]:
-        distances = distances.unionByName(level)
+    distances = search.level(*range(len(search.sizes) + 1)).select(
+        F.col("node").alias("id"), F.col("depth").alias("hops")
+    )
     result = search.scratch.write(distances, "result")
     search.drop()
     return result

@@ -12,7 +12,8 @@ from linkrank.functions import part_count, salt_of
 from linkrank.plans.scratch import Scratch
 from linkrank.plans.skew import heaviest, salted_join
 
-LINKS_PER_PARTITION = 32_000_000  # about 256 MB of vertex numbers
+LINKS_PER_PARTITION = 32_000_000  # at most: about 256 MB of vertex numbers
+FEW_LINKS = 64_000  # not worth a partition of their own
 
 
 @dataclass(frozen=True)
@@ -88,11 +89,10 @@ def adjacency(links: DataFrame, n_links: int) -> DataFrame:
 
 
 def _partitions(frame: DataFrame, n_links: int) -> int:
-    """One partition per core up to the session's setting, and more as the links need it."""
-    spark = frame.sparkSession
-    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    return max(min(session, cores), -(-n_links // LINKS_PER_PARTITION), 1)
+    """A partition per core as far as the links make it worthwhile, and more if they need it."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    worthwhile = min(cores, -(-n_links // FEW_LINKS))
+    return max(worthwhile, -(-n_links // LINKS_PER_PARTITION), 1)
 
 
 def spread(state: DataFrame, adjacent: DataFrame, *columns: str) -> DataFrame:

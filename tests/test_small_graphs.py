@@ -202,6 +202,14 @@ def test_hubs_are_split_without_changing_results(spark, split_hubs, seed):
     }
 
 
+def test_many_copies_of_one_edge(spark, split_hubs):
+    links = [("a", "b")] * 40 + [("a", "c")] * 39 + [("c", "a"), ("b", "c")]
+    edges = frame(spark, links).repartition(6)
+    assert as_dict(g.label_propagation(edges, 2)) == brute.label_propagation(links, 2)[0]
+    ranks = as_dict(g.pagerank(g.vertex_degrees(edges), edges, iterations=3))
+    assert ranks == pytest.approx(brute.pagerank(links, 3))
+
+
 def test_wide_frontiers_are_joined_without_broadcast(spark, split_hubs, monkeypatch):
     monkeypatch.setattr("linkrank.operators.paths.BROADCAST_BYTES", -1)
     links = random_graph(3)
