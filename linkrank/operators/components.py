@@ -97,14 +97,15 @@ def _shorten(scratch: Scratch, hooks: DataFrame, n: int, name: str) -> DataFrame
     arrived = hooks.where("to = u").select("u", "to")
     moving = hooks.where("to <> u").select("u", "to")
     jump = 0
-    while not moving.isEmpty():
+    while True:
         jumped = scratch.write(
             _followed(moving, arrived.union(moving), n), f"{name}/{jump}"
         )
         arrived = arrived.union(jumped.where("next = to").select("u", "to"))
         moving = jumped.where("next <> to").selectExpr("u", "next AS to")
+        if moving.isEmpty():
+            return arrived
         jump += 1
-    return arrived
 
 
 def _rewritten(pairs: DataFrame, ends: DataFrame, hot: DataFrame | None) -> DataFrame:
