@@ -45,5 +45,5 @@ def _with_smallest(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    """Tells two link tables apart."""
+    """Tells two link tables apart: their number and a hash of all of them."""
     return tuple(edges.selectExpr("count(1)", "bit_xor(xxhash64(u, v))").first())

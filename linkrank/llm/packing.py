@@ -25,6 +25,7 @@ from linkrank.plans import Scratch
 
 CAPACITY = 1024
 END_OF_TEXT = 2
+LEAST_PARTS = (16, 12, 8, 6, 4, 3, 2)  # parts of the capacity that a replacement has at least
 CACHED_CHUNKS = 1_000_000  # chunks whose ids a worker remembers, about 150 MB
 BLANKS = " \t\n\r"
 # A token never reaches from a non-blank into a blank, so text may be cut in front of blanks.
@@ -141,12 +142,15 @@ def tokenized_pieces(
     return source.mapInArrow(cut, schema)
 
 
-def best_two_fit(counts: list[int], capacity: int) -> list[tuple[int, list[int]]]:
+def best_two_fit(
+    counts: list[int], capacity: int, least: int = 1
+) -> list[tuple[int, list[int]]]:
     """``(bins, lengths)`` of every kind of bin, for ``counts[length]`` pieces of each length.
 
     A bin is filled greedily, the largest piece that fits first. Then, if room is left, its
-    smallest piece is replaced by the two unpacked pieces that fill the room it leaves best, if
-    they fill it better than the piece itself. The same bin is made as often as the counts allow.
+    smallest piece is replaced by the two unpacked pieces of ``least`` tokens or more that fill
+    the room it leaves best, if they fill it better than the piece itself. The same bin is made
+    as often as the counts allow.
     """
     left = list(counts)
     plan = []
@@ -169,7 +173,7 @@ def best_two_fit(counts: list[int], capacity: int) -> list[tuple[int, list[int]]
             gap -= fits * length
         if gap and len(filled) > 1:
             smallest = filled[-1]
-            pair = _best_pair(left, Counter(filled), gap + smallest, smallest)
+            pair = _best_pair(left, Counter(filled), gap + smallest, smallest, least)
             if pair:
                 filled[-1:] = pair
         uses = Counter(filled)
@@ -179,14 +183,16 @@ def best_two_fit(counts: list[int], capacity: int) -> list[tuple[int, list[int]]
         plan.append((bins, sorted(filled, reverse=True)))
 
 
-def _best_pair(left: list[int], uses: Counter, room: int, better_than: int) -> list[int] | None:
-    """The two free lengths with the largest sum up to ``room``, above ``better_than``."""
+def _best_pair(
+    left: list[int], uses: Counter, room: int, better_than: int, least: int
+) -> list[int] | None:
+    """The two free lengths from ``least`` with the largest sum up to ``room``, above a bound."""
     largest = [0] * (room + 1)  # largest free length up to each
     for length in range(1, room + 1):
         free = left[length] > uses[length]
         largest[length] = length if free else largest[length - 1]
     best, pair = better_than, None
-    for a in range(room, 0, -1):
+    for a in range(room - least, least - 1, -1):
         if 2 * a <= best:
             break
         if largest[a] != a:
@@ -194,11 +200,21 @@ def _best_pair(left: list[int], uses: Counter, room: int, better_than: int) -> l
         b = largest[min(a, room - a)]
         if b == a and left[a] - uses[a] < 2:
             b = largest[a - 1]
-        if b and a + b > best:
+        if b >= least and a + b > best:
             best, pair = a + b, [a, b]
     return pair
 
 
+def fewest_bins(counts: list[int], capacity: int) -> list[tuple[int, list[int]]]:
+    """The best-two-fit plan with the fewest bins over several smallest lengths for replacements.
+
+    Small pieces are worth more later, as fillers, than in early replacements; how small depends on
+    the lengths at hand.
+    """
+    plans = (best_two_fit(counts, capacity, max(1, capacity // part)) for part in LEAST_PARTS)
+    return min(plans, key=lambda plan: sum(bins for bins, _ in plan))
+
+
 def _places(plan: list[tuple[int, list[int]]], capacity: int) -> dict[int, np.ndarray]:
     """Per length, runs of ranks as rows ``first rank, pieces a bin, first bin, offset``."""
     runs: dict[int, list[tuple[int, int, int, int]]] = {n: [] for n in range(1, capacity + 1)}
@@ -243,7 +259,7 @@ def pack(
         made.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n")), "counts"
     )
     totals = {row[0]: row[1] for row in counts.groupBy("length").agg(F.sum("n")).collect()}
-    plan = best_two_fit([totals.get(n, 0) for n in range(capacity + 1)], capacity)
+    plan = fewest_bins([totals.get(n, 0) for n in range(capacity + 1)], capacity)
     before = Window.partitionBy("length").orderBy("shard")
     bases = counts.select(
         "length", "shard", (F.sum("n").over(before) - F.col("n")).alias("base_rank")
