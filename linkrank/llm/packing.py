@@ -26,14 +26,15 @@ from linkrank.plans import Scratch
 CAPACITY = 1024
 END_OF_TEXT = 2
 LEAST_PARTS = (16, 12, 8, 6, 4, 3, 2)  # parts of the capacity that a replacement has at least
-CACHED_CHUNKS = 1_000_000  # chunks whose ids a worker remembers, about 150 MB
+CACHED_CHUNKS = 500_000  # chunks of a generation that a worker remembers, about 100 MB
 BLANKS = " \t\n\r"
 # A token never reaches from a non-blank into a blank, so text may be cut in front of blanks.
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-# Other characters that some pattern may take for a blank, and control tokens: encoded whole.
+# Characters that some pattern may take for a blank: such texts, and those that may hold control
+# tokens, are encoded whole.
 UNUSUAL = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f"
-    r"\u3000\ufeff]|<\|"
+    r"\u3000\ufeff]"
 )
 
 
@@ -53,39 +54,61 @@ class CachedEncoder:
         for token, number in vocabulary.items():
             self.n_bytes[number] = len(token)  # a byte-level token has a character per byte
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self, new: list[str]) -> None:
-        joined = [chunk for chunk in new if chunk[0] in BLANKS and chunk[-1] not in BLANKS]
+        joined, alone = [], []
+        for chunk in new:
+            (joined if chunk[0] in BLANKS and chunk[-1] not in BLANKS else alone).append(chunk)
         if joined:
             text = "".join(joined)
             ids = np.array(
                 self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
             )
-            sizes = [len(chunk.encode()) for chunk in joined]
-            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes)) + 1
-            start = 0
-            for chunk, cut in zip(joined, cuts.tolist(), strict=True):
-                self.known[chunk] = ids[start:cut].tobytes()
-                start = cut
-        for chunk in new:
-            if chunk not in self.known:
-                self.known[chunk] = self.whole(chunk).tobytes()
+            sizes = np.fromiter(map(len, map(str.encode, joined)), "i8", len(joined))
+            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes)) + 1
+            edges, raw = [0, *(4 * ends).tolist()], ids.tobytes()
+            self.known.update(
+                zip(joined, (raw[a:b] for a, b in zip(edges, edges[1:], strict=False)), strict=True)
+            )
+        for chunk in alone:
+            self.known[chunk] = self.whole(chunk).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [None if UNUSUAL.search(text) else CHUNK.findall(text) for text in texts]
-        needed = {chunk for found in chunks for chunk in found or ()}
-        new = [chunk for chunk in needed if chunk not in self.known]
-        if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.known.clear()
-            new = list(needed)
-        self.learn(new)
-        return [
-            self.whole(text).tobytes() if found is None else b"".join(map(self.known.get, found))
-            for text, found in zip(texts, chunks, strict=True)
-        ]
+        """One look-up a chunk; the few that are missing are found or learned and filled in.
+
+        Chunks are kept in two generations: when the younger one is full, it becomes the older
+        one, and what is still in use moves on from there.
+        """
+        if len(self.known) > CACHED_CHUNKS:
+            self.known, self.older = {}, self.known
+        rows, missing = [], []
+        for text in texts:
+            if "<|" in text or UNUSUAL.search(text):
+                rows.append(((), [self.whole(text).tobytes()]))
+                continue
+            chunks = CHUNK.findall(text)
+            ids = list(map(self.known.get, chunks))
+            gaps = []
+            if None in ids:
+                for k, one in enumerate(ids):
+                    if one is None:
+                        ids[k] = found = self.older.get(chunks[k])
+                        if found is None:
+                            gaps.append((k, chunks[k]))
+                        else:
+                            self.known[chunks[k]] = found
+                missing += [chunk for _, chunk in gaps]
+            rows.append((gaps, ids))
+        if missing:
+            self.learn(list(dict.fromkeys(missing)))
+        for gaps, ids in rows:
+            for k, chunk in gaps:
+                ids[k] = self.known[chunk]
+        return [b"".join(ids) for _, ids in rows]
 
 
 @lru_cache(maxsize=1)
