@@ -28,6 +28,7 @@ END_OF_TEXT = 2
 LEAST_PARTS = (16, 12, 8, 6, 4, 3, 2)  # parts of the capacity that a replacement has at least
 CACHED_CHUNKS = 500_000  # chunks of a generation that a worker remembers, about 100 MB
 BLANKS = " \t\n\r"
+SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # A token never reaches from a non-blank into a blank, so text may be cut in front of blanks.
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 # Characters that some pattern may take for a blank: such texts, and those that may hold control
@@ -60,9 +61,20 @@ class CachedEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self, new: list[str]) -> None:
-        joined, alone = [], []
+        """Encode new chunks. Symbols after a last letter are tokens apart, so words come without."""
+        parted, words = [], []
         for chunk in new:
-            (joined if chunk[0] in BLANKS and chunk[-1] not in BLANKS else alone).append(chunk)
+            word = chunk.rstrip(SYMBOLS)
+            if word and word[-1].isalpha() and len(word) < len(chunk):
+                parted.append((chunk, word, chunk[len(word) :]))
+                words += parted[-1][1:]
+            else:
+                words.append(chunk)
+        joined, alone = [], []
+        for word in dict.fromkeys(words):
+            if word not in self.known:
+                blank = word[0] in BLANKS and word[-1] not in BLANKS
+                (joined if blank else alone).append(word)
         if joined:
             text = "".join(joined)
             ids = np.array(
@@ -74,8 +86,10 @@ class CachedEncoder:
             self.known.update(
                 zip(joined, (raw[a:b] for a, b in zip(edges, edges[1:], strict=False)), strict=True)
             )
-        for chunk in alone:
-            self.known[chunk] = self.whole(chunk).tobytes()
+        for word in alone:
+            self.known[word] = self.whole(word).tobytes()
+        for chunk, word, symbols in parted:
+            self.known[chunk] = self.known[word] + self.known[symbols]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """One look-up a chunk; the few that are missing are found or learned and filled in.
@@ -93,15 +107,16 @@ class CachedEncoder:
             chunks = CHUNK.findall(text)
             ids = list(map(self.known.get, chunks))
             gaps = []
-            if None in ids:
-                for k, one in enumerate(ids):
-                    if one is None:
-                        ids[k] = found = self.older.get(chunks[k])
-                        if found is None:
-                            gaps.append((k, chunks[k]))
-                        else:
-                            self.known[chunks[k]] = found
-                missing += [chunk for _, chunk in gaps]
+            k = -1
+            for _ in range(ids.count(None)):
+                k = ids.index(None, k + 1)
+                found = self.older.get(chunks[k])
+                if found is None:
+                    gaps.append((k, chunks[k]))
+                    missing.append(chunks[k])
+                    ids[k] = b""
+                else:
+                    self.known[chunks[k]] = ids[k] = found
             rows.append((gaps, ids))
         if missing:
             self.learn(list(dict.fromkeys(missing)))
