@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
-from linkrank.llm.common import held_out, pieces
-from linkrank.llm.text_stats import COUNTS, counted
-from linkrank.plans import Scratch
+from linkrank.llm.common import held_out
+from linkrank.llm.text_stats import COUNTS, derived
 
 KEEP_FROM = 0.7  # scores from here on are predicted to be good
 SHRINKAGE = 0.1  # share of the spherical covariance in every class covariance
 CLIP = 30.0  # largest log-odds
 
-# Features: logarithms of sizes, arcsine roots of shares (both even out the spread).
-SIZES = {
-    "log_words": "ln(1.0D + n_words)",
-    "log_lines": "ln(1.0D + n_lines)",
-    "log_word_length": "ln(1 + try_divide(word_chars, n_words))",
-    "log_line_words": "ln(1 + try_divide(n_words, n_lines))",
+# Features: logarithms of ratios, arcsine roots of shares (both even out the spread). A ratio to
+# nothing is 0.
+RATIOS = {
+    "log_words": ("n_words", None),
+    "log_lines": ("n_lines", None),
+    "log_word_length": ("word_chars", "n_words"),
+    "log_line_words": ("n_words", "n_lines"),
 }
 SHARES = {
     "symbols": ("n_symbols", "word_chars"),
@@ -38,23 +38,29 @@ SHARES = {
     "shouts": ("n_shouts", "word_chars"),
     "other": ("n_other", "word_chars"),
 }
-FEATURES = (*SIZES, *SHARES)
+FEATURES = (*RATIOS, *SHARES)
 
 
-def _columns() -> list[Column]:
-    shares = {
-        name: f"asin(sqrt(least(1.0D, try_divide({part}, {whole}))))"
-        for name, (part, whole) in SHARES.items()
-    }
-    sizes = {name: f"coalesce({sql}, 0.0D)" for name, sql in {**SIZES, **shares}.items()}
-    return [F.expr(sql).alias(name) for name, sql in sizes.items()]
+def features_of(counts: np.ndarray) -> np.ndarray:
+    """The features of rows of COUNTS; an empty text has zeros."""
+
+    def ratio(part: str, whole: str | None) -> np.ndarray:
+        below = np.ones(len(counts)) if whole is None else counts[:, COUNTS.index(whole)]
+        return np.where(below > 0, counts[:, COUNTS.index(part)] / np.maximum(below, 1), 0.0)
+
+    columns = [np.log1p(ratio(*pair)) for pair in RATIOS.values()]
+    columns += [np.arcsin(np.sqrt(np.minimum(ratio(*pair), 1.0))) for pair in SHARES.values()]
+    return np.stack(columns, axis=1)
+
 
+def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The other columns of ``docs`` and an array ``features``."""
 
-def with_features(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """The other columns of ``docs`` and an array ``features``. Empty texts have zeros."""
-    lines = counted(docs, text, keep_text)
-    kept = [name for name in lines.columns if name not in (*COUNTS, "features")]
-    return lines.select(*kept, F.array(*_columns()).alias("features"))
+    def lists(counts: np.ndarray) -> list[pa.Array]:
+        x = features_of(counts)
+        return [pa.array(list(x), pa.list_(pa.float64()))]
+
+    return derived(docs, text, {"features": ArrayType(DoubleType())}, lists)
 
 
 @dataclass(frozen=True)
@@ -134,29 +140,21 @@ def fit(
     return Discriminant(shift, scale, tuple(means), tuple(factors), tuple(offsets))
 
 
-def scored(rows: DataFrame, model: Discriminant) -> DataFrame:
-    """``rows`` with ``score`` instead of ``features``."""
-    kept = [name for name in rows.columns if name not in ("features", "score")]
-    p = len(FEATURES)
+def scored(docs: DataFrame, model: Discriminant, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``score`` instead of its text, or beside it."""
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, 1024):
-                x = part.column("features").flatten().to_numpy(zero_copy_only=False)
-                arrays = [part.column(name) for name in kept]
-                arrays.append(pa.array(model.score(x.reshape(-1, p))))
-                yield pa.RecordBatch.from_arrays(arrays, [*kept, "score"])
+    def scores(counts: np.ndarray) -> list[pa.Array]:
+        return [pa.array(model.score(features_of(counts)))]
 
-    schema = rows.select(*kept).schema.add("score", "double")
-    return rows.select(*kept, "features").mapInArrow(apply, schema)
+    return derived(docs, text, {"score": "double"}, scores, keep_text)
 
 
 def scored_documents(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The other columns of ``docs`` with ``score``; every text is read once."""
-    rows = Scratch(docs.sparkSession).write(with_features(docs, text), "features")
-    return scored(rows, fit(rows, labels, id))
+    """The other columns of ``docs`` with ``score``. Texts are read twice, to learn and to score."""
+    model = fit(with_features(docs.select(id, text), text), labels, id)
+    return scored(docs, model, text)
 
 
 def good_documents(
@@ -172,5 +170,9 @@ def good_documents(
     model = fit(with_features(docs.select(id, text), text), labels, id)
     if not model.means and model.offsets[0] >= 0.5:
         return docs
-    rows = with_features(docs.select(F.struct(*docs.columns).alias("row"), F.col(text)), text)
-    return scored(rows, model).where(F.col("score") >= keep_from).select("row.*")
+    others = [F.col(name) for name in docs.columns if name != text]
+    rows = docs.select(F.struct(*others, F.lit(0)).alias("row"), F.col(text).alias("body"))
+    good = scored(rows, model, "body", keep_text=True).where(F.col("score") >= keep_from)
+    return good.select(
+        *(F.col("body" if name == text else f"row.`{name}`").alias(name) for name in docs.columns)
+    )

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from linkrank.llm.common import free_name, pieces
 
@@ -108,21 +109,39 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     )
 
 
-def counted(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with the COUNTS of its text; columns of these names give way to the new ones."""
-    kept = [c for c in docs.columns if c not in COUNTS and (keep_text or c != text)]
-    content = free_name(kept, "text")
-    source = docs.select(*kept, F.col(text).alias(content))
-    schema = source.select(*kept).schema
-    for name in COUNTS:
-        schema = schema.add(name, "long")
+def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the COUNTS of its text instead of the text."""
+
+    def columns(counts: np.ndarray) -> list[pa.Array]:
+        return [pa.array(column) for column in counts.T]
+
+    return derived(docs, text, {name: "long" for name in COUNTS}, columns)
+
+
+def derived(
+    docs: DataFrame,
+    text: str,
+    new: dict[str, str | DataType],
+    columns: Callable[[np.ndarray], list[pa.Array]],
+    keep_text: bool = False,
+) -> DataFrame:
+    """``docs`` with ``new`` columns made from the counts of its text, a row of COUNTS per text.
+
+    Columns of ``docs`` with these names give way to the new ones.
+    """
+    kept = [c for c in docs.columns if c not in new and (keep_text or c != text)]
+    content = text if keep_text else free_name(kept, "text")
+    source = docs.select(*kept) if keep_text else docs.select(*kept, F.col(text).alias(content))
+    schema = docs.select(*kept).schema
+    for name, kind in new.items():
+        schema = schema.add(name, kind)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 rows = [text_counts(x) for x in part.column(content).to_pylist()]
                 arrays = [part.column(name) for name in kept]
-                arrays += [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, [*kept, *COUNTS])
+                arrays += columns(np.array(rows, "i8").reshape(-1, len(COUNTS)))
+                yield pa.RecordBatch.from_arrays(arrays, [*kept, *new])
 
     return source.mapInArrow(count, schema)
