@@ -127,13 +127,14 @@ def simhash_groups(
     shingle: int = SHINGLE,
     bits: int = BITS,
 ) -> DataFrame:
-    """``id, text_hash, fingerprint, component_id`` for every row of ``docs``.
+    """``id, text_hash, fingerprint, component, component_id`` for every row of ``docs``.
 
     Groups are the connected components of fingerprints that differ in at most ``bits`` bits, and
     are named by their smallest id. Rows with equal fingerprints are one vertex, so groups of
     exact copies of any size cost one comparison. Null and empty texts, and those without words, have
     fingerprint 0. A null id takes part, but names a group only if nothing else is in it. Repeated
-    rows stay repeated; an empty table gives no rows. ``text_hash`` tells rows with one id apart.
+    rows stay repeated; an empty table gives no rows. ``text_hash`` tells rows with one id apart, and
+    ``component``, a fingerprint, the groups of rows with one id.
     """
     scratch = Scratch(docs.sparkSession)
     keyed = docs.select(
@@ -152,35 +153,33 @@ def simhash_groups(
     names = linked.groupBy("label").agg(F.min("first").alias("component_id"))
     named = (
         classes.join(linked.select("u"), "u", "left_anti")
-        .select("u", F.col("first").alias("component_id"), "n")
-        .unionByName(linked.join(names, "label").select("u", "component_id", "n"))
+        .select("u", F.col("u").alias("component"), F.col("first").alias("component_id"), "n")
+        .unionByName(
+            linked.join(names, "label").select(
+                "u", F.col("label").alias("component"), "component_id", "n"
+            )
+        )
     )
     named = scratch.write(named.withColumnRenamed("u", "fingerprint"), "named")
     hot = heaviest(named, "fingerprint", "n")
     return salted_join(rows, named.drop("n"), "fingerprint", hot).select(
-        F.col("doc_id").alias(id), "text_hash", "fingerprint", "component_id"
+        F.col("doc_id").alias(id), "text_hash", "fingerprint", "component", "component_id"
     )
 
 
 def without_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every group of :func:`simhash_groups`, unchanged: that with the smallest id.
 
-    Of rows that share this id, one stays; a group whose ids are all null keeps one as well.
+    Of rows that share this id, one stays. A row without an id stays only if its group has no id.
     """
     groups = simhash_groups(docs, id, text)
     no_id = F.lit(-(2**63))
-    chosen = groups.select(
-        F.coalesce("component_id", F.col("fingerprint")).alias("group"),
-        F.col("component_id").isNull().alias("unnamed"),
-        F.struct(
-            F.coalesce(F.col(id).cast("long"), no_id).alias("key"),
-            "text_hash",
-            F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)).alias("smallest"),
-        ).alias("row"),
-    )
+    candidates = groups.where(
+        F.col(id).eqNullSafe(F.col("component_id"))
+    ).select("component", F.struct(F.coalesce(F.col(id).cast("long"), no_id).alias("key"),
+                                   "text_hash").alias("row"))
     chosen = (
-        chosen.where("row.smallest AND (unnamed OR row.key <> -9223372036854775808)")
-        .groupBy("group", "unnamed")
+        candidates.groupBy("component")
         .agg(F.min("row").alias("row"))
         .select(F.col("row.key").alias("_key"), F.col("row.text_hash").alias("_hash"))
     )
