@@ -18,7 +18,7 @@ from linkrank.plans import (
 )
 from linkrank.plans.layout import name_labels
 
-HISTORY = "iteration int, changed long, n_communities long"
+HISTORY = "iteration int, changed long, n_communities long, converged boolean"
 
 
 def label_propagation(edges: DataFrame, max_iter: int = 20) -> DataFrame:
@@ -34,7 +34,8 @@ def label_propagation_rounds(
     Every vertex starts with its own id as label. In a round all vertices at once take the
     label most frequent among the vertices they link to, the smallest one if several are;
     without out-links they keep theirs. Parallel edges each count. The loop ends when
-    nothing changed or after ``max_iter`` rounds (labels can swap for ever).
+    nothing changed, which is ``converged`` in the last row of the history, or after ``max_iter``
+    rounds (labels can swap for ever).
     """
     spark = edges.sparkSession
     scratch = Scratch(spark)
@@ -65,7 +66,7 @@ def label_propagation_rounds(
         changed, left = state.selectExpr(
             "count_if(label <> previous)", "count(DISTINCT label)"
         ).first()
-        history.append((done, changed, left))
+        history.append((done, changed, left, not changed))
         if not changed:
             break
     result = scratch.write(name_labels(state.select("vid", "label"), index), "result")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from linkrank.plans import (
 )
 from linkrank.plans.layout import name_labels
 
-HISTORY = "iteration int, changed long"
+HISTORY = "iteration int, changed long, converged boolean"
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -117,13 +119,13 @@ def _rewritten(pairs: DataFrame, ends: DataFrame, hot: DataFrame | None) -> Data
 
 
 def min_label_rounds(
-    vertices: DataFrame, edges: DataFrame, max_iter: int = 30
+    vertices: DataFrame, edges: DataFrame, max_iter: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Components by label spreading, one hop a round, with the labels changed per round.
 
     In a round every vertex takes the smallest label among its own and its neighbours'. The
-    loop ends when nothing changed or after ``max_iter`` rounds, and in the second case the
-    labels of long chains are not final; :func:`connected_components` always finishes.
+    loop ends when nothing changed. With ``max_iter`` it may end before, and then the labels of
+    long chains are not final: ``converged`` is false in the last row of the history.
     """
     spark = vertices.sparkSession
     scratch = Scratch(spark)
@@ -139,7 +141,7 @@ def min_label_rounds(
 
     state = degrees.select("vid", part_count("degree").alias("parts"), F.col("vid").alias("label"))
     history = []
-    for done in range(1, max_iter + 1):
+    for done in count(1) if max_iter is None else range(1, max_iter + 1):
         heard = spread(state, adjacent, "label", "NULL AS parts", "NULL AS previous")
         state = scratch.write(
             heard.union(state.selectExpr("vid", "label", "parts", "label"))
@@ -153,7 +155,7 @@ def min_label_rounds(
         )
         scratch.drop(f"labels-{done - 1}")
         changed = state.selectExpr("count_if(label <> previous)").first()[0]
-        history.append((done, changed))
+        history.append((done, changed, not changed))
         if not changed:
             break
     named = name_labels(state.select("vid", "label"), index)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,16 +79,20 @@ def _search(edges: DataFrame, source: str, visits_source: bool = True) -> _Searc
     return search
 
 
-def shortest_path(edges: DataFrame, source: str, target: str, max_depth: int = 6) -> DataFrame:
+def shortest_path(
+    edges: DataFrame, source: str, target: str, max_depth: int | None = 6
+) -> DataFrame:
     """``step, node`` of one shortest directed path, empty if none has up to ``max_depth`` hops.
 
+    With None for ``max_depth`` it is empty only if there is no path at all.
+
     A path has at least one hop: from a vertex to itself it is the shortest cycle. Every
     vertex keeps one parent, the smallest id of the level before, so the state grows with
     the vertices and not with the paths, and the answer is always the same one.
     """
     search = _search(edges, source, visits_source=source != target)
     path = []
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         size, hit = search.advance(target)
         if hit:
             path = [target]
@@ -102,10 +107,15 @@ def shortest_path(edges: DataFrame, source: str, target: str, max_depth: int = 6
     return edges.sparkSession.createDataFrame(steps, "step int, node string")
 
 
-def bfs_frontier_sizes(edges: DataFrame, source: str, max_depth: int = 6) -> DataFrame:
-    """``depth, n_nodes``: the vertices first reached at each depth from 1 on."""
+def bfs_frontier_sizes(
+    edges: DataFrame, source: str, max_depth: int | None = 6
+) -> DataFrame:
+    """``depth, n_nodes``: the vertices first reached at each depth from 1 on.
+
+    None for ``max_depth`` goes on until no vertex is new.
+    """
     search = _search(edges, source)
-    for _ in range(max_depth):
+    for _ in count() if max_depth is None else range(max_depth):
         if not search.advance()[0]:
             break
     search.drop()

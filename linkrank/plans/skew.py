@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkrank.functions import salt_of
 
 HOT_ROWS = 1_000_000  # rows of one key that are worth splitting
-HOT_KEYS = 1_000  # keys split at most; every other key then holds under 1/1000 of the rows
+HOT_SHARE = 100_000  # in very large tables, a key is worth splitting from this part of the rows
 
 
 def heaviest(
@@ -16,17 +16,17 @@ def heaviest(
 ) -> DataFrame | None:
     """The keys worth splitting, with the number of buckets for each: ``key, buckets``.
 
-    At most ``HOT_KEYS`` rows whatever the data, so the result is safe to broadcast. The tie
-    order is total, which keeps the choice the same wherever the plan is evaluated. None if
+    Every key with ``HOT_ROWS`` rows or more is in the list, as far as it has a part of
+    1/``HOT_SHARE`` of the rows of all such keys. So it has at most ``HOT_SHARE`` rows whatever the
+    data and is safe to broadcast, and a key that isn't split is a vanishing part. None if
     ``at_most``, a measured bound on the weights, says that no key is heavy.
     """
     if at_most is not None and at_most < HOT_ROWS:
         return None
-    return (
-        counts.where((F.col(weight) >= HOT_ROWS) & F.col(key).isNotNull())
-        .orderBy(F.desc(weight), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col(weight) / HOT_ROWS).cast("int").alias("buckets"))
+    heavy = counts.where((F.col(weight) >= HOT_ROWS) & F.col(key).isNotNull())
+    share = heavy.agg(F.sum(weight)).scalar() / HOT_SHARE
+    return heavy.where(F.col(weight) >= share).select(
+        key, F.ceil(F.col(weight) / HOT_ROWS).cast("int").alias("buckets")
     )
 
 
@@ -37,7 +37,8 @@ def salted_join(
 
     Rows of a hot key go to one of its buckets, copies of one row too; the one table row is
     repeated per bucket. All other keys have a single bucket. ``rows`` is
-    evaluated once, and the broadcast holds at most ``HOT_KEYS`` rows.
+    evaluated once here (once more if ``hot`` is derived from it), and the broadcast holds at most
+    ``HOT_SHARE`` rows.
     """
     if hot is None:
         return rows.join(table, key, how)

@@ -17,8 +17,23 @@ def read_edge_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    """Header CSV, one file per partition: nothing is gathered into one task."""
-    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Header CSV, one file per partition: nothing is gathered into one task.
+
+    Blanks at the ends of a value stay. Empty strings and nulls can't be told apart in a CSV file: both
+    are read back as null. A line break in a value would end the row for readers that split files, so
+    such a value is an error.
+    """
+    checked = [
+        F.when(F.col(name).rlike("[\r\n]"), F.raise_error(F.lit(f"line break in {name}")))
+        .otherwise(F.col(name))
+        .alias(name)
+        if kind == "string"
+        else F.col(name)
+        for name, kind in frame.dtypes
+    ]
+    writer = frame.select(*checked).write.mode("overwrite").option("header", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(path)
 
 
 def write_small_csv(frame: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from registry.graphs import ROWS_SQL, edges_sql
 from registry.queries import SOURCE, TARGET
 
 ITERATIONS, DAMPING = 20, 0.85
-LABEL_ROUNDS, VOTE_ROUNDS, DEPTH, FAR = 30, 20, 6, 12
+LABEL_ROUNDS, VOTE_ROUNDS, DEPTH, FAR = 60, 20, 6, 24
 
 
 def query(ctes: list[str], select: str, recursive: bool = False) -> str:
@@ -115,7 +115,8 @@ def changes(prefix: str, rounds: int, ctes: list[str], extra: str = "") -> str:
     """Rows per round up to the first one without a change."""
     parts = [
         f"""SELECT {k} AS iteration,
-            COUNT(*) FILTER (WHERE a.label <> b.label) AS changed {extra}
+            COUNT(*) FILTER (WHERE a.label <> b.label) AS changed,
+            COUNT(*) FILTER (WHERE a.label <> b.label) = 0 AS converged {extra}
         FROM {prefix}{k} a JOIN {prefix}{k - 1} b ON a.id = b.id"""
         for k in range(1, rounds + 1)
     ]

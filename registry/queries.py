@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from linkrank import operators as g
 from linkrank import sources as s
-from linkrank.plans import Scratch
+from linkrank.plans import Scratch, heaviest, salted_join
 from registry.graphs import ROWS, edges, table
 
 SOURCE, TARGET = "1", "17"  # parts, for the path queries
@@ -138,9 +138,9 @@ def component_sinks(spark, folder):
     s.write_csv(g.component_sizes(labels), f"{path}/sizes")
     sizes = spark.read.option("header", True).option("escape", '"').csv(f"{path}/sizes")
     sizes = sizes.select("component", F.col("size").cast("bigint").alias("size"))
-    return spark.read.parquet(f"{path}/labels").join(sizes, "component").select(
-        "id", "component", "size"
-    )
+    labels = spark.read.parquet(f"{path}/labels")
+    joined = salted_join(labels, sizes, "component", heaviest(sizes, "component", "size"))
+    return joined.select("id", "component", "size")
 
 
 def communities(spark, folder, name="page_link"):

@@ -93,3 +93,18 @@ def test_a_hub_and_copies_of_a_link_are_many_adjacency_rows(spark, split_hubs):
     assert sizes[0][0] > 300 and sizes[0][1] < 30
     # copies are told apart by the partition they are read from: 50 of 40 rows each
     assert sizes[1][0] > 35 and sizes[1][1] <= 120
+
+
+def test_every_hot_key_is_split(spark, monkeypatch):
+    from linkrank.plans import heaviest, salted_join
+
+    monkeypatch.setattr("linkrank.plans.skew.HOT_ROWS", 5)
+    counts = spark.range(3_000).selectExpr("id AS key", "5 + id % 3 AS n")
+    hot = heaviest(counts, "key", "n")
+    assert hot.count() == 3_000 and hot.where("buckets = 2").count() == 2_000
+    monkeypatch.setattr("linkrank.plans.skew.HOT_SHARE", 10)
+    giant = counts.unionByName(spark.range(2).selectExpr("-1 - id AS key", "1000000L AS n"))
+    assert {row.key for row in heaviest(giant, "key", "n").collect()} == {-1, -2}
+    rows = spark.range(9_000).selectExpr("id % 3000 AS key", "id")
+    table = spark.range(3_000).selectExpr("id AS key", "id * 2 AS value")
+    assert salted_join(rows, table, "key", hot).where("value = 2 * key").count() == 9_000

@@ -146,3 +146,14 @@ def test_operators_leave_only_their_result_behind(spark):
     assert len(made) == 4
     for folder in made:
         assert [n for n in os.listdir(f"{shared}/{folder}") if not n.startswith(".")] == ["result"]
+
+
+def test_csv_keeps_blanks_and_refuses_line_breaks(spark, tmp_path):
+    rows = [(" lead", "trail "), ('"quoted"', "back\\slash"), (" ", "a,b"), (None, "'")]
+    frame = spark.createDataFrame(rows, "source string, target string")
+    s.write_csv(frame, str(tmp_path / "kept"))
+    found = {tuple(row) for row in s.read_edge_csv(spark, str(tmp_path / "kept")).collect()}
+    assert found == set(rows)
+    broken = spark.createDataFrame([("l1\nl2", "z")], "source string, target string")
+    with pytest.raises(Exception, match="line break in source"):
+        s.write_csv(broken, str(tmp_path / "broken"))
