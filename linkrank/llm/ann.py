@@ -20,10 +20,10 @@ from linkrank.plans import Scratch
 NEIGHBOURS = 20
 ORDERS = 4  # random orders for the first neighbours
 BLOCK = 128  # vectors of a block, all compared with each other
-ROUNDS = 2  # of joining neighbours of neighbours
+ROUNDS = 5  # of joining neighbours of neighbours
 ENTRIES = 64  # nodes every search starts from
-WIDTH = 96  # best nodes a search keeps; it ends when all of them have been expanded
-STEP = 24  # nodes a search expands in a round
+WIDTH = 512  # best nodes a search keeps; it ends when all of them have been expanded
+STEP = 128  # nodes a search expands in a round
 SEED = 11
 
 LISTS = "u long, v binary, s binary"  # a node, its neighbours (int64) and their cosines (float32)
