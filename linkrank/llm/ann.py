@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours by cosine: an NN-descent graph, searched greedily.
+"""Approximate nearest neighbours by cosine: an NN-descent graph, its links searched greedily both ways.
 
 Equal vectors are one node, so a vector that a third of all rows share costs one node's work.
 First neighbours come from blocks of vectors that are close in a random order; then every round
@@ -20,7 +20,7 @@ from linkrank.plans import Scratch
 NEIGHBOURS = 20
 ORDERS = 4  # random orders for the first neighbours
 BLOCK = 128  # vectors of a block, all compared with each other
-ROUNDS = 5  # of joining neighbours of neighbours
+ROUNDS = 3  # of joining neighbours of neighbours
 ENTRIES = 64  # nodes every search starts from
 WIDTH = 512  # best nodes a search keeps; it ends when all of them have been expanded
 STEP = 128  # nodes a search expands in a round
@@ -36,6 +36,7 @@ class NeighbourGraph:
     nodes: DataFrame  # node, x (the vector), unit (its direction in half precision)
     rows: DataFrame  # node, id
     graph: DataFrame  # LISTS
+    links: DataFrame  # u, members: both ways, at most twice the neighbours; what a search follows
 
 
 def usable(vector: str) -> Column:
@@ -113,7 +114,9 @@ def build_graph(
         found = _local_joins(nodes, graph, neighbours)
         graph = scratch.write(_best(graph.unionByName(found), neighbours), f"graph-{done + 1}")
         scratch.drop(f"graph-{done}")
-    return NeighbourGraph(scratch, nodes, members, graph)
+    links = _both_ways(graph, neighbours).groupBy(F.col("center").alias("u"))
+    links = scratch.write(links.agg(F.collect_list("member").alias("members")), "links")
+    return NeighbourGraph(scratch, nodes, members, graph, links)
 
 
 def _blocks(nodes: DataFrame, order: int, width: int, neighbours: int) -> DataFrame:
@@ -192,11 +195,10 @@ def _top(v: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return v[keep], s[keep]
 
 
-def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFrame:
-    """Compare the neighbours of every node with one another: neighbours of neighbours.
+def _both_ways(graph: DataFrame, neighbours: int) -> DataFrame:
+    """``center, member``: a node's neighbours, and nodes that have it as theirs.
 
-    Also nodes that have it as their neighbour take part, as many as it has itself, chosen by a hash: a
-    node may be near to very many. Only what would enter a member's list is passed on.
+    Of the latter as many as it may have itself, chosen by a hash: a node may be near to very many.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +206,25 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
             u, v = batch.column("u").to_numpy(), [np.frombuffer(b, "<i8") for b in batch.column("v").to_pylist()]
             sizes = [len(one) for one in v]
             pairs = [pa.array(np.repeat(u, sizes)), pa.array(np.concatenate([np.empty(0, "i8"), *v]))]
-            yield pa.RecordBatch.from_arrays(pairs, ["u", "v"])
+            yield pa.RecordBatch.from_arrays(pairs, ["center", "member"])
+
+    pairs = graph.select("u", "v").mapInArrow(split, "center long, member long")
+    near = Window.partitionBy("center").orderBy(F.xxhash64("center", "member"))
+    back = (
+        pairs.select(F.col("member").alias("center"), F.col("center").alias("member"))
+        .withColumn("place", F.row_number().over(near))
+        .where(F.col("place") <= neighbours)
+        .drop("place")
+    )
+    return pairs.unionByName(back).distinct()
+
+
+def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFrame:
+    """Compare the neighbours of every node with one another: neighbours of neighbours.
+
+    Nodes that have it as their neighbour take part too. Only what would enter a member's list is
+    passed on.
+    """
 
     def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,19 +234,10 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
                 [batch.column("u"), pa.array(low, pa.float32())], ["node", "low"]
             )
 
-    pairs = graph.select("u", "v").mapInArrow(split, "u long, v long")
-    near = Window.partitionBy("center").orderBy(F.xxhash64("center", "member"))
-    back = (
-        pairs.select(F.col("v").alias("center"), F.col("u").alias("member"))
-        .withColumn("place", F.row_number().over(near))
-        .where(F.col("place") <= neighbours)
-        .drop("place")
-    )
-    members = pairs.select(F.col("u").alias("center"), F.col("v").alias("member")).unionByName(back)
     known = graph.select("u", "s").mapInArrow(lowest, "node long, low float")
     told = nodes.select("node", "unit").join(known, "node").withColumnRenamed("node", "member")
     groups = (
-        members.distinct()
+        _both_ways(graph, neighbours)
         .join(told, "member")
         .groupBy("center")
         .agg(F.collect_list(F.struct("member", "unit", "low")).alias("members"))
@@ -261,7 +272,7 @@ def search(
     the original vectors in double precision; ties go to the smaller id, and fewer rows than ``k``
     come back only if there are no more. Queries with an unusable vector have no answer.
     """
-    scratch, nodes, graph = index.scratch, index.nodes, index.graph
+    scratch, nodes, links = index.scratch, index.nodes, index.links
     asked = queries.where(F.col("query_id").isNotNull() & usable("x")).select(
         F.col("query_id").cast("long").alias("query_id"), "x"
     )
@@ -318,14 +329,6 @@ def search(
                 [pa.array(qs, pa.int64()), pa.array(us, pa.int64())], ["q", "u"]
             )
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v = [np.frombuffer(b, "<i8") for b in batch.column("v").to_pylist()]
-            q = np.repeat(batch.column("q").to_numpy(), [len(one) for one in v])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q), pa.array(np.concatenate([np.empty(0, "i8"), *v]))], ["q", "node"]
-            )
-
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
@@ -353,10 +356,7 @@ def search(
         if open_ones.isEmpty():
             break
         reached = (
-            open_ones.join(graph.select("u", "v"), "u")
-            .select("q", "v")
-            .mapInArrow(spread, "q long, node long")
-            .distinct()
+            open_ones.join(links, "u").select("q", F.explode("members").alias("node")).distinct()
         )
         found = (
             reached.join(nodes.select("node", "unit"), "node")
