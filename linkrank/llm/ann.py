@@ -3,6 +3,10 @@
 Equal vectors are one node, so a vector that a third of all rows share costs one node's work.
 First neighbours come from blocks of vectors that are close in a random order; then every round
 joins each node's neighbours, and those it is a neighbour of, with one another and keeps the best.
+Vectors travel as directions of a byte per component; the answers are scored on the originals.
+
+In a search the links stay where they are, with the directions of the nodes they lead to. A round moves
+the queries to the nodes they expand, and back only what beats the worst node a query keeps.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +29,7 @@ ROUNDS = 3  # of joining neighbours of neighbours
 ENTRIES = 64  # nodes every search starts from
 WIDTH = 512  # best nodes a search keeps; it ends when all of them have been expanded
 STEP = 128  # nodes a search expands in a round
+NODES_PER_PARTITION = 50_000  # whose links lie together
 SEED = 11
 
 LISTS = "u long, v binary, s binary"  # a node, its neighbours (int64) and their cosines (float32)
@@ -33,10 +39,10 @@ NAMES, TYPES = ["u", "v", "s"], [pa.int64(), pa.binary(), pa.binary()]
 @dataclass(frozen=True)
 class NeighbourGraph:
     scratch: Scratch
-    nodes: DataFrame  # node, x (the vector), unit (its direction in half precision)
+    nodes: DataFrame  # node, x (the vector), unit (its direction, a signed byte per component)
     rows: DataFrame  # node, id
     graph: DataFrame  # LISTS
-    links: DataFrame  # u, members: both ways, at most twice the neighbours; what a search follows
+    links: DataFrame  # u, members (int64), units: both ways, at most twice the neighbours
 
 
 def usable(vector: str) -> Column:
@@ -48,16 +54,22 @@ def usable(vector: str) -> Column:
     )
 
 
-def _matrix(column: pa.Array, dtype: str) -> np.ndarray:
-    return np.stack([np.frombuffer(one, dtype) for one in column.to_pylist()])
+def _table(column: pa.Array) -> np.ndarray:
+    """Directions, a row each."""
+    return _directions(b"".join(column.to_pylist()), len(column))
+
+
+def _directions(codes: bytes, n: int) -> np.ndarray:
+    x = np.frombuffer(codes, "i1").reshape(n, -1).astype("f4")
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _units(vectors: list, width: int) -> np.ndarray:
+def _codes(vectors: list, width: int) -> np.ndarray:
     x = np.zeros((len(vectors), width))
     for k, one in enumerate(vectors):
         x[k, : len(one)] = one
-    x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the squares
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("<f2")
+    x /= np.abs(x).max(axis=1, keepdims=True)  # the largest component becomes 127, so none is all zero
+    return np.rint(127 * x).astype("i1")
 
 
 def _lists(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -96,9 +108,9 @@ def build_graph(
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                half = _units(batch.column("x").to_pylist(), width)
+                codes = _codes(batch.column("x").to_pylist(), width)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array([row.tobytes() for row in half])],
+                    [*batch.columns, pa.array([row.tobytes() for row in codes])],
                     [*batch.schema.names, "unit"],
                 )
 
@@ -114,8 +126,7 @@ def build_graph(
         found = _local_joins(nodes, graph, neighbours)
         graph = scratch.write(_best(graph.unionByName(found), neighbours), f"graph-{done + 1}")
         scratch.drop(f"graph-{done}")
-    links = _both_ways(graph, neighbours).groupBy(F.col("center").alias("u"))
-    links = scratch.write(links.agg(F.collect_list("member").alias("members")), "links")
+    links = scratch.write(_links(nodes, graph, neighbours), "links")
     return NeighbourGraph(scratch, nodes, members, graph, links)
 
 
@@ -129,7 +140,7 @@ def _blocks(nodes: DataFrame, order: int, width: int, neighbours: int) -> DataFr
         planes = np.random.default_rng((SEED, order)).standard_normal((width, 32))
         for batch in batches:
             if batch.num_rows:
-                signs = _matrix(batch.column("unit"), "<f2").astype("f4") @ planes > 0
+                signs = _table(batch.column("unit")) @ planes > 0
                 codes = signs @ (1 << np.arange(32, dtype="i8"))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("node"), batch.column("unit"), pa.array(codes)],
@@ -141,9 +152,9 @@ def _blocks(nodes: DataFrame, order: int, width: int, neighbours: int) -> DataFr
         units: list[bytes] = []
 
         def block(n: int) -> pa.RecordBatch:
-            members, x = np.array(ids[:n], "i8"), np.stack([np.frombuffer(b, "<f2") for b in units[:n]])
+            members, x = np.array(ids[:n], "i8"), _directions(b"".join(units[:n]), n)
             del ids[:n], units[:n]
-            return _lists(_all_pairs(members, x.astype("f4"), neighbours))
+            return _lists(_all_pairs(members, x, neighbours))
 
         for batch in batches:
             ids += batch.column("node").to_pylist()
@@ -246,14 +257,16 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
+                groups_of = batch.column("members").slice(start, 256)
+                ends = np.cumsum(groups_of.value_lengths().to_numpy())
+                member, unit, low = groups_of.flatten().flatten()
+                member, low, unit = member.to_numpy(), low.to_numpy(), _table(unit)
                 rows = []
-                for members in batch.column("members").slice(start, 256).to_pylist():
-                    ids = np.array([one["member"] for one in members], "i8")
-                    low = np.array([one["low"] for one in members], "f4")
-                    x = np.stack([np.frombuffer(one["unit"], "<f2") for one in members]).astype("f4")
+                for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                    ids, x = member[a:b], unit[a:b]
                     near = x @ x.T
                     np.fill_diagonal(near, -3.0)
-                    better = near > low[:, None]
+                    better = near > low[a:b, None]
                     for i in np.flatnonzero(better.any(axis=1)):
                         others = np.flatnonzero(better[i])
                         rows.append((int(ids[i]), ids[others], near[i, others]))
@@ -262,13 +275,36 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
     return groups.select("members").mapInArrow(join, LISTS)
 
 
+def _links(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFrame:
+    """A row per node with the nodes that its links lead to, both ways, and their directions."""
+    groups = (
+        _both_ways(graph, neighbours)
+        .join(nodes.select(F.col("node").alias("member"), "unit"), "member")
+        .groupBy(F.col("center").alias("u"))
+        .agg(F.collect_list(F.struct("member", "unit")).alias("found"))
+    )
+    # one string of bytes each: numbers in the machine's order, as numpy reads them
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members, units = [], []
+            for found in batch.column("found").to_pylist():
+                members.append(np.array([one["member"] for one in found], "<i8").tobytes())
+                units.append(b"".join(one["unit"] for one in found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("u"), pa.array(members, pa.binary()), pa.array(units, pa.binary())],
+                ["u", "members", "units"],
+            )
+
+    return groups.mapInArrow(packed, "u long, members binary, units binary")
+
+
 def search(
     index: NeighbourGraph, queries: DataFrame, k: int = 5, width: int = WIDTH, step: int = STEP
 ) -> DataFrame:
     """``query_id, rank, id, score``: the ``k`` nearest rows found for every query row.
 
     ``queries`` has ``query_id, x``. A query that is itself in the graph starts from its own node, and the
-    row with its id isn't an answer. All start from ENTRIES fixed nodes too. Scores are cosines of
+    row with its id isn't an answer. All start from ENTRIES fixed nodes and their links too. Scores are cosines of
     the original vectors in double precision; ties go to the smaller id, and fewer rows than ``k``
     come back only if there are no more. Queries with an unusable vector have no answer.
     """
@@ -276,102 +312,142 @@ def search(
     asked = queries.where(F.col("query_id").isNotNull() & usable("x")).select(
         F.col("query_id").cast("long").alias("query_id"), "x"
     )
-    width_of = max(1, len(nodes.select("unit").first()[0]) // 2) if not nodes.isEmpty() else 1
+    n_nodes = nodes.count()
+    width_of = len(nodes.select("unit").first()[0]) if n_nodes else 1
     owned = asked.join(nodes.select("x", "node"), "x", "left")
     owned = owned.withColumn("q", F.coalesce("node", F.xxhash64(F.lit("outside"), "x")))
     owned = scratch.write(owned.select("query_id", "q", "node", "x"), "queries")
-    entries = nodes.select("node", "unit").orderBy(F.xxhash64("node", F.lit(SEED))).limit(ENTRIES)
-    entries = entries.collect()  # at most ENTRIES rows
-    entry_ids = np.array([row.node for row in entries], "i8")
-    entry_x = [np.frombuffer(row.unit, "<f2") for row in entries]
-    entry_x = np.stack(entry_x).astype("f4") if entry_x else np.zeros((0, width_of), "f4")
+    start_ids, start_x, expanded = _starts(nodes, links, width_of)
 
-    schema = "q long, unit binary, v binary, s binary, seen binary"
-    names = ["q", "unit", "v", "s", "seen"]
+    schema = "q long, unit binary, v binary, s binary, seen binary, open int"
+    names = ["q", "unit", "v", "s", "seen", "open"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True) if rows else [[] for _ in names]
-        types = [pa.int64(), *[pa.binary()] * 4]
+        types = [pa.int64(), *[pa.binary()] * 4, pa.int32()]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
         )
 
     def state_of(q: int, unit: bytes, v: np.ndarray, s: np.ndarray, seen: np.ndarray) -> tuple:
-        """Best first; what lies beyond the width is kept as seen, so it isn't compared again."""
-        order = np.lexsort((v, -s))
-        return (q, unit, v[order].tobytes(), s[order].astype("<f4").tobytes(), seen[order].tobytes())
+        """The best nodes, best first; what is worse can't come back, as the worst one only rises."""
+        order = np.lexsort((v, -s))[:width]
+        v, s, seen = v[order].astype("<i8"), s[order].astype("<f4"), seen[order]
+        return (q, unit, v.tobytes(), s.tobytes(), seen.tobytes(), int((~seen).sum()))
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for q, node, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                unit = _units([x], max(width_of, len(x)))[0][:width_of]
-                near = entry_x @ unit.astype("f4")
-                v, s = entry_ids, near
+                unit = _codes([x], max(width_of, len(x)))[0][:width_of].tobytes()
+                v, s, seen = start_ids, start_x @ _query(unit), expanded
                 if node is not None:
                     other = v != node
                     v, s = np.append(v[other], node), np.append(s[other], np.float32(1.0))
-                rows.append(state_of(q, unit.tobytes(), v, s, np.zeros(len(v), "?")))
+                    seen = np.append(seen[other], False)
+                rows.append(state_of(q, unit, v, s, seen))
             yield batch_of(rows)
 
     once = owned.groupBy("q").agg(F.first("node").alias("node"), F.first("x").alias("x"))
     state = scratch.write(once.mapInArrow(begin, schema), "search-0")
 
     def frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query at the nodes it expands next, with the score that a node must beat."""
         for batch in batches:
-            qs, us = [], []
-            for q, v, seen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                v, seen = np.frombuffer(v, "<i8"), np.frombuffer(seen, "?")
-                chosen = v[np.flatnonzero(~seen[:width])[:step]]
+            qs, units, lows, us = [], [], [], []
+            for q, unit, v, s, seen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                v, s = np.frombuffer(v, "<i8"), np.frombuffer(s, "<f4")
+                chosen = v[np.flatnonzero(~np.frombuffer(seen, "?"))[:step]]
                 qs += [q] * len(chosen)
+                units += [unit] * len(chosen)
+                lows += [float(s[-1]) if len(s) >= width else -2.0] * len(chosen)
                 us += chosen.tolist()
+            columns = [(qs, pa.int64()), (units, pa.binary()), (lows, pa.float32()), (us, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(qs, pa.int64()), pa.array(us, pa.int64())], ["q", "u"]
+                [pa.array(c, t) for c, t in columns], ["q", "unit", "low", "u"]
             )
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for q, unit, low, members, units in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids = np.frombuffer(members, "<i8")
+                near = _directions(units, len(ids)) @ _query(unit)
+                better = np.flatnonzero(near > low)
+                if len(better):
+                    rows.append((q, ids[better], near[better]))
+            yield _lists(rows)
+
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                rows = []
-                for row in batch.slice(start, 128).to_pylist():
-                    v, s = np.frombuffer(row["v"], "<i8"), np.frombuffer(row["s"], "<f4")
-                    seen = np.frombuffer(row["seen"], "?").copy()
-                    seen[np.flatnonzero(~seen[:width])[:step]] = True
-                    found = [one for one in row["found"] or ()]
-                    new = np.array([one["node"] for one in found], "i8")
-                    fresh = np.flatnonzero(~np.isin(new, v))
-                    if len(fresh):
-                        x = np.stack([np.frombuffer(found[i]["unit"], "<f2") for i in fresh])
-                        near = x.astype("f4") @ np.frombuffer(row["unit"], "<f2").astype("f4")
-                        v, s = np.append(v, new[fresh]), np.append(s, near)
-                        seen = np.append(seen, np.zeros(len(fresh), "?"))
-                    rows.append(state_of(row["q"], row["unit"], v, s, seen))
-                yield batch_of(rows)
+            rows = []
+            for q, unit, v, s, seen, lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                v, s, seen = np.frombuffer(v, "<i8"), np.frombuffer(s, "<f4"), np.frombuffer(seen, "?").copy()
+                seen[np.flatnonzero(~seen)[:step]] = True
+                new = np.frombuffer(b"".join(one["v"] for one in lists or ()), "<i8")
+                near = np.frombuffer(b"".join(one["s"] for one in lists or ()), "<f4")
+                new, first = np.unique(new, return_index=True)
+                fresh = ~np.isin(new, v)
+                v, s = np.append(v, new[fresh]), np.append(s, near[first[fresh]])
+                seen = np.append(seen, np.zeros(int(fresh.sum()), "?"))
+                rows.append(state_of(q, unit, v, s, seen))
+            yield batch_of(rows)
 
+    cores = nodes.sparkSession.sparkContext.defaultParallelism
+    placed = (
+        links.repartition(max(cores, -(-n_nodes // NODES_PER_PARTITION)), "u")
+        .sortWithinPartitions("u")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     done = 0
-    while True:
-        open_ones = scratch.write(
-            state.select("q", "v", "seen").mapInArrow(frontier, "q long, u long"), f"open-{done}"
-        )
-        if open_ones.isEmpty():
-            break
-        reached = (
-            open_ones.join(links, "u").select("q", F.explode("members").alias("node")).distinct()
-        )
+    while state.agg(F.max("open")).first()[0]:
+        at_work = state.where("open > 0").select("q", "unit", "v", "s", "seen")
         found = (
-            reached.join(nodes.select("node", "unit"), "node")
-            .groupBy("q")
-            .agg(F.collect_list(F.struct("node", "unit")).alias("found"))
-        )
-        state = scratch.write(
-            state.join(found, "q", "left").mapInArrow(advance, schema), f"search-{done + 1}"
+            at_work.mapInArrow(frontier, "q long, unit binary, low float, u long")
+            .join(placed.hint("merge"), "u")
+            .select("q", "unit", "low", "members", "units")
+            .mapInArrow(compare, LISTS)
+            .groupBy(F.col("u").alias("q"))
+            .agg(F.collect_list(F.struct("v", "s")).alias("lists"))
         )
-        scratch.drop(f"search-{done}", f"open-{done}")
+        moved = state.select("q", "unit", "v", "s", "seen").join(found, "q", "left")
+        state = scratch.write(moved.mapInArrow(advance, schema), f"search-{done + 1}")
+        scratch.drop(f"search-{done}")
         done += 1
+    placed.unpersist()
 
     return _answers(index, owned, state, k)
 
 
+def _query(unit: bytes) -> np.ndarray:
+    """A query's direction; zero if all its components lie beyond the width of the nodes."""
+    x = np.frombuffer(unit, "i1").astype("f4")
+    return x / max(np.linalg.norm(x), np.float32(1.0))
+
+
+def _starts(
+    nodes: DataFrame, links: DataFrame, width: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where every search starts: ENTRIES nodes and those their links lead to, so the rows are bounded.
+
+    The entries count as expanded. They are no key of a join that all queries would meet at.
+    """
+    entries = nodes.select("node", "unit").orderBy(F.xxhash64("node", F.lit(SEED))).limit(ENTRIES)
+    found = {}
+    for row in links.join(F.broadcast(entries.select(F.col("node").alias("u"))), "u").collect():
+        ids, size = np.frombuffer(row.members, "<i8").tolist(), len(row.units) * 8 // len(row.members)
+        found |= {v: (row.units[k * size : (k + 1) * size], False) for k, v in enumerate(ids)}
+    found |= {row.node: (bytes(row.unit), True) for row in entries.collect()}
+    if not found:
+        return np.empty(0, "i8"), np.zeros((0, width), "f4"), np.empty(0, "?")
+    codes = b"".join(bytes(code) for code, _ in found.values())
+    return (
+        np.array(list(found), "i8"),
+        _directions(codes, len(found)),
+        np.array([expanded for _, expanded in found.values()]),
+    )
+
+
 def _answers(index: NeighbourGraph, owned: DataFrame, state: DataFrame, k: int) -> DataFrame:
     """Exact scores of the best nodes, their rows, and the ranks."""
     nodes = index.nodes.select("node", "x")
