@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkrank import operators as g
 from linkrank import sources as s
-from linkrank.plans import Scratch
 
 
 def build_job(
@@ -102,9 +101,5 @@ def dump_job(spark: SparkSession, dump: str, output: str, pages: str | None = No
     if not pages:
         s.write_csv(links, output)
         return
-    # the lookup reads the links twice, the dump is taken apart once
-    scratch = Scratch(spark)
-    links = scratch.write(links, "links")
     named = s.resolve_page_ids(links, spark.read.parquet(pages))
     s.write_csv(named.selectExpr("src AS source", "dst AS target"), output)
-    scratch.drop("links")

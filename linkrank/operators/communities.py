@@ -88,8 +88,12 @@ def community_count(communities: DataFrame) -> DataFrame:
     return communities.select("label").distinct().agg(F.count(F.lit(1)).alias("n_communities"))
 
 
-def _end_labels(edges: DataFrame, communities: DataFrame) -> DataFrame:
-    """``from_label, to_label`` of every edge whose two ends are in ``communities``."""
+def _tallies(edges: DataFrame, communities: DataFrame) -> DataFrame:
+    """``label, k_out, k_in, n_intra``: links from, to and inside each community.
+
+    One pass over the edges. Ends outside ``communities`` are counted under the null label, so the
+    sum of ``k_out`` is the number of all edges. Labels are taken to be not null.
+    """
     sources = communities.select(F.col("id").alias("src"), F.col("label").alias("from_label"))
     targets = communities.select(F.col("id").alias("dst"), F.col("label").alias("to_label"))
     half = salted_join(
@@ -97,20 +101,29 @@ def _end_labels(edges: DataFrame, communities: DataFrame) -> DataFrame:
         sources,
         "src",
         heaviest(out_degrees(edges), "src", "out_degree"),
+        "left",
     )
-    return salted_join(
+    ends = salted_join(
         half.select("dst", "from_label"),
         targets,
         "dst",
         heaviest(in_degrees(edges), "dst", "in_degree"),
-    ).select("from_label", "to_label")
+        "left",
+    )
+    return (
+        ends.selectExpr(
+            "inline(array("
+            "struct(from_label AS label, 1L AS o, 0L AS i, IF(from_label = to_label, 1L, 0L) AS n),"
+            "struct(to_label AS label, 0L AS o, 1L AS i, 0L AS n)))"
+        )
+        .groupBy("label")
+        .agg(F.sum("o").alias("k_out"), F.sum("i").alias("k_in"), F.sum("n").alias("n_intra"))
+    )
 
 
 def intra_community_edges(edges: DataFrame, communities: DataFrame) -> DataFrame:
     """One row: the number of edges with both ends in one community."""
-    return _end_labels(edges, communities).agg(
-        F.count_if(F.col("from_label") == F.col("to_label")).alias("n_intra")
-    )
+    return _tallies(edges, communities).agg(F.coalesce(F.sum("n_intra"), F.lit(0)).alias("n_intra"))
 
 
 def community_degree(edges: DataFrame, communities: DataFrame) -> DataFrame:
@@ -129,16 +142,12 @@ def modularity(edges: DataFrame, communities: DataFrame) -> DataFrame:
     I counts the edges inside communities, D is a community's out-links, m all edges. Kept
     for comparable results; :func:`modularity_directed` is the textbook measure.
     """
-    squares = community_degree(edges, communities).agg(
-        F.sum(F.col("total_degree").cast("double") * F.col("total_degree")).alias("squares")
-    )
-    terms = (
-        edges.agg(F.count(F.lit(1)).alias("m"))
-        .unionByName(intra_community_edges(edges, communities), allowMissingColumns=True)
-        .unionByName(squares, allowMissingColumns=True)
-        .agg(F.max("m").alias("m"), F.max("n_intra").alias("i"), F.max("squares").alias("s"))
+    terms = _tallies(edges, communities).selectExpr(
+        "CAST(sum(k_out) AS DOUBLE) AS m",
+        "sum(n_intra) AS i",
+        "sum(CASE WHEN label IS NOT NULL AND k_out > 0 THEN CAST(k_out AS DOUBLE) * k_out END) AS s",
     )
-    m = F.col("m").cast("double")
+    m = F.col("m")
     return terms.select(
         (
             F.try_divide(F.col("i"), 2 * m)
@@ -149,20 +158,12 @@ def modularity(edges: DataFrame, communities: DataFrame) -> DataFrame:
 
 def modularity_directed(edges: DataFrame, communities: DataFrame) -> DataFrame:
     """One row: I / m - sum of K_out * K_in / m^2 (directed modularity)."""
-    degrees = (
-        vertex_degrees(edges)
-        .join(communities, "id")
-        .groupBy("label")
-        .agg(F.sum("out_degree").alias("k_out"), F.sum("in_degree").alias("k_in"))
-    )
-    products = degrees.agg(F.sum(F.col("k_out").cast("double") * F.col("k_in")).alias("products"))
-    terms = (
-        edges.agg(F.count(F.lit(1)).alias("m"))
-        .unionByName(intra_community_edges(edges, communities), allowMissingColumns=True)
-        .unionByName(products, allowMissingColumns=True)
-        .agg(F.max("m").alias("m"), F.max("n_intra").alias("i"), F.max("products").alias("p"))
+    terms = _tallies(edges, communities).selectExpr(
+        "CAST(sum(k_out) AS DOUBLE) AS m",
+        "sum(n_intra) AS i",
+        "sum(CASE WHEN label IS NOT NULL THEN CAST(k_out AS DOUBLE) * k_in END) AS p",
     )
-    m = F.col("m").cast("double")
+    m = F.col("m")
     return terms.select(
         (F.try_divide(F.col("i"), m) - F.try_divide(F.col("p"), m * m)).alias("modularity")
     )

@@ -8,75 +8,86 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.operators.graph import out_degrees
-from linkrank.plans import Scratch, heaviest, salted_join
-
-BROADCAST_BYTES = 32 * 1024 * 1024  # largest frontier sent whole to every executor
-LEVEL = "node string, parent string, depth int"
+from linkrank.functions import part_count
+from linkrank.operators.graph import vertex_degrees
+from linkrank.plans import Scratch, adjacency, encode_edges, index_vertices, spread
+from linkrank.plans.layout import VertexIndex
 
 
 @dataclass
 class _Search:
-    """The levels found so far: level d is the table ``level-d`` in the scratch folder."""
+    """A search over links that stay in place; a level moves the vertices' state to them.
+
+    The state has ``vid, parts, depth, parent`` of every vertex, nulls for those not reached.
+    """
 
     scratch: Scratch
-    edges: DataFrame
-    visits_source: bool
+    index: VertexIndex
+    adjacent: DataFrame
+    state: DataFrame
+    frontier: DataFrame
     sizes: list[int] = field(default_factory=list)
-    hot: DataFrame | None = None
-
-    def level(self, *depths: int) -> DataFrame:
-        paths = [self.scratch.path(f"level-{depth}") for depth in depths]
-        return self.scratch.spark.read.schema(LEVEL).parquet(*paths)
 
-    def start(self, source: str) -> None:
-        spark = self.scratch.spark
-        self.scratch.write(spark.createDataFrame([(source, None, 0)], LEVEL), "level-0")
-        self.frontier_bytes = 0
+    def vid(self, node: str) -> int | None:
+        row = self.index.table.where(F.col("id") == F.lit(node)).select("vid").first()
+        return row and row.vid
 
-    def advance(self, target: str | None = None) -> tuple[int, bool]:
+    def advance(self, target: int | None = None) -> tuple[int, bool]:
         """Find the next level; its size, and whether it holds ``target``."""
         depth = len(self.sizes) + 1
-        frontier = self.level(depth - 1).select(F.col("node").alias("src"))
-        if self.frontier_bytes <= BROADCAST_BYTES:
-            # a measured small frontier: one scan of the edges, nothing shuffled but hits
-            reached = self.edges.join(F.broadcast(frontier), "src")
-        else:
-            reached = salted_join(self.edges, frontier, "src", self._hot_sources())
-        reached = (
-            reached.dropna(subset=["dst"])
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.min("src").alias("parent"))
+        self.state = self.scratch.write(
+            _level(self.state, self.frontier, self.adjacent, depth), f"level-{depth}"
         )
-        first = 0 if self.visits_source else 1
-        if first < depth:
-            known = self.level(*range(first, depth)).select("node")
-            reached = reached.join(known, "node", "left_anti")
-        reached = reached.select("node", "parent", F.lit(depth).alias("depth"))
-        found = self.scratch.write(reached, f"level-{depth}")
-        size, self.frontier_bytes, hits = found.agg(
-            F.count(F.lit(1)),
-            F.coalesce(F.sum(F.octet_length("node") + 32), F.lit(0)),
-            F.count_if(F.col("node") == F.lit(target)),
+        self.scratch.drop(f"level-{depth - 1}")
+        self.frontier = self.state.where(F.col("depth") == depth).select("vid", "parts")
+        size, hits = self.frontier.agg(
+            F.count("vid"), F.count_if(F.col("vid") == F.lit(target))
         ).first()
         self.sizes.append(size)
         return size, hits > 0
 
-    def _hot_sources(self) -> DataFrame:
-        if self.hot is None:
-            self.hot = self.scratch.write(
-                heaviest(out_degrees(self.edges), "src", "out_degree"), "hot"
-            )
-        return self.hot
-
     def drop(self) -> None:
-        self.scratch.drop("hot", *(f"level-{depth}" for depth in range(len(self.sizes) + 1)))
+        self.adjacent.unpersist()
+        self.scratch.drop("index", f"level-{len(self.sizes)}")
+
+
+def _level(state: DataFrame, frontier: DataFrame, adjacent: DataFrame, depth: int) -> DataFrame:
+    """The state after a level. Numbers are in id order: the least parent has the smallest id."""
+    reached = spread(frontier, adjacent, "NULL AS parts", "NULL AS depth", "NULL AS old", "vid AS new")
+    return (
+        reached.union(state.selectExpr("vid", "parts", "depth", "parent", "NULL"))
+        .groupBy("vid")
+        .agg(
+            F.expr("max(parts) AS parts"),
+            F.expr("max(depth) AS depth"),
+            F.expr("max(old) AS old"),
+            F.expr("min(new) AS new"),
+        )
+        .selectExpr(
+            "vid",
+            "parts",
+            f"CASE WHEN depth IS NOT NULL THEN depth WHEN new IS NOT NULL THEN {depth} END AS depth",
+            "IF(depth IS NOT NULL, old, new) AS parent",
+        )
+    )
 
 
 def _search(edges: DataFrame, source: str, visits_source: bool = True) -> _Search:
-    search = _Search(Scratch(edges.sparkSession), edges.select("src", "dst"), visits_source)
-    search.start(source)
-    return search
+    scratch = Scratch(edges.sparkSession)
+    index = index_vertices(scratch, vertex_degrees(edges))
+    links = encode_edges(edges, index).select(
+        F.col("u").alias("vid"), F.col("v").alias("target"), F.col("out_degree").alias("degree")
+    )
+    at_source = F.col("id") == F.lit(source)
+    vertices = index.table.select("id", "vid", part_count("out_degree").alias("parts"))
+    state = vertices.select(
+        "vid",
+        "parts",
+        F.when(at_source & F.lit(visits_source), F.lit(0)).alias("depth"),
+        F.lit(None).cast("long").alias("parent"),
+    )
+    frontier = vertices.where(at_source).select("vid", "parts")
+    return _Search(scratch, index, adjacency(links, index.n_links), state, frontier)
 
 
 def shortest_path(
@@ -91,19 +102,22 @@ def shortest_path(
     the vertices and not with the paths, and the answer is always the same one.
     """
     search = _search(edges, source, visits_source=source != target)
+    start, end = search.vid(source), search.vid(target)
     path = []
-    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
-        size, hit = search.advance(target)
-        if hit:
-            path = [target]
-            for back in range(depth, 0, -1):
-                parent = search.level(back).where(F.col("node") == path[-1]).first()["parent"]
-                path.append(parent)
-            break
-        if not size:
-            break
+    if start is not None and end is not None:
+        for depth in count(1) if max_depth is None else range(1, max_depth + 1):
+            size, hit = search.advance(end)
+            if hit:
+                path = [end]
+                for _ in range(depth):
+                    path.append(search.state.where(F.col("vid") == path[-1]).first()["parent"])
+                break
+            if not size:
+                break
+    ids = search.index.table.where(F.col("vid").isin(path)).select("vid", "id").collect()
+    names = {row.vid: row.id for row in ids}
     search.drop()
-    steps = list(enumerate(reversed(path)))
+    steps = [(step, names[vid]) for step, vid in enumerate(reversed(path))]
     return edges.sparkSession.createDataFrame(steps, "step int, node string")
 
 
@@ -130,9 +144,10 @@ def distances_to(edges: DataFrame, target: str, max_depth: int | None = None) ->
     while max_depth is None or len(search.sizes) < max_depth:
         if not search.advance()[0]:
             break
-    distances = search.level(*range(len(search.sizes) + 1)).select(
-        F.col("node").alias("id"), F.col("depth").alias("hops")
-    )
+    found = search.state.where("depth IS NOT NULL").join(search.index.table, "vid")
+    distances = found.select("id", F.col("depth").alias("hops"))
+    if search.vid(target) is None:
+        distances = edges.sparkSession.createDataFrame([(target, 0)], "id string, hops int")
     result = search.scratch.write(distances, "result")
     search.drop()
     return result

@@ -77,8 +77,10 @@ def adjacency(links: DataFrame, n_links: int) -> DataFrame:
     A vertex has one row per ``LINKS_PER_PART`` links, so a row stays small and a hub, or a
     link repeated many times, is spread over partitions. The rows are persisted partitioned
     and sorted by (vid, part): a round only moves the vertex state, never the links.
+
+    More links than ``n_links`` means that the vertex table counts other edges: an error.
     """
-    return (
+    rows = (
         links.withColumn("part", salt_of(part_count("degree"), "target"))
         .repartition(_partitions(links, n_links), "vid", "part")
         .groupBy("vid", "part")
@@ -86,6 +88,11 @@ def adjacency(links: DataFrame, n_links: int) -> DataFrame:
         .sortWithinPartitions("vid", "part")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    found = rows.agg(F.sum(F.size("targets"))).first()[0] or 0  # fills the cache as well
+    if found > n_links:
+        rows.unpersist()
+        raise ValueError(f"{found} links, but the degrees of the vertex table add up to {n_links}")
+    return rows
 
 
 def _partitions(frame: DataFrame, n_links: int) -> int:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkrank.functions import salt_of
 
 HOT_ROWS = 1_000_000  # rows of one key that are worth splitting
+NULL_BUCKETS = 10_000  # for the rows without a key in an outer join
 HOT_SHARE = 100_000  # in very large tables, a key is worth splitting from this part of the rows
 
 
@@ -46,7 +47,12 @@ def salted_join(
     hot = F.broadcast(hot)
     salted = rows.join(hot, key, "left").select(
         *rows.columns,
-        F.coalesce(salt_of(F.col("buckets"), *others), F.lit(0)).alias("salt"),
+        F.coalesce(
+            salt_of(F.col("buckets"), *others),
+            # null keys match nothing; an outer join keeps them, so they are spread too
+            F.when(F.col(key).isNull(), salt_of(F.lit(NULL_BUCKETS), *others)),
+            F.lit(0),
+        ).alias("salt"),
     )
     repeated = table.join(hot, key, "left").select(
         *table.columns,

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.plans import heaviest, salted_join
+from linkrank.plans import Scratch, heaviest, salted_join
+
+PACKED = (".gz", ".zst", ".xz", ".lz4", ".snappy", ".deflate")  # each file is read by one task
+PACKED_BYTES_PER_PARTITION = 32 * 1024 * 1024  # several times as many when unpacked
 
 # The dump's format.
 INSERT_PREFIX = "INSERT INTO `pagelinks` VALUES"
@@ -21,9 +24,12 @@ def parse_link_dump(spark: SparkSession, path: str) -> DataFrame:
     In titles ``\\'`` becomes ``'`` and then ``\\\\`` becomes ``\\``.
     """
     lines = spark.read.text(path).where(F.startswith("value", F.lit(INSERT_PREFIX)))
-    if any(name.endswith(".gz") for name in lines.inputFiles()):
-        # a gzip file is read by one task: spread its lines before taking them apart
-        lines = lines.repartition(spark.sparkContext.defaultParallelism)
+    packed = [name for name in lines.inputFiles() if name.lower().endswith(PACKED)]
+    if packed:
+        # spread the lines before taking them apart, if there are few files for their bytes
+        wanted = -(-_bytes(spark, packed) // PACKED_BYTES_PER_PARTITION)
+        if len(packed) < wanted:
+            lines = lines.repartition(wanted, F.xxhash64("value"))
     links = lines.select(
         F.explode(F.regexp_extract_all("value", F.lit(TUPLE), F.lit(0))).alias("link")
     )
@@ -52,9 +58,19 @@ def parse_link_dump(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _bytes(spark: SparkSession, names: list[str]) -> int:
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name)) for name in names]
+    return sum(path.getFileSystem(hadoop).getFileStatus(path).getLen() for path in paths)
+
+
 def resolve_page_ids(links: DataFrame, pages: DataFrame) -> DataFrame:
     """``src, dst`` by title: ``links`` from a dump with their source ids looked up in
-    ``pages`` (``id, title``, one row per id). Links from unknown pages drop out."""
+    ``pages`` (``id, title``, one row per id). Links from unknown pages drop out.
+
+    The links are written first: counting the heavy pages and the join read that table, and the
+    dump is taken apart once."""
+    links = Scratch(links.sparkSession).write(links, "links")
     users = links.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
     titles = pages.select(F.col("id").alias("source_id"), F.col("title").alias("src"))
     return salted_join(

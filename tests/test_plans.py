@@ -47,6 +47,29 @@ def test_a_round_moves_the_state_and_the_shares_only(spark, stored, no_broadcast
     adjacent.unpersist()
 
 
+def test_a_level_of_a_search_leaves_the_links_in_place(stored, no_broadcast, monkeypatch):
+    from linkrank.operators.paths import _level, _search
+
+    monkeypatch.setattr("linkrank.plans.layout.FEW_LINKS", 100)
+    search = _search(stored[1], stored[1].first()["src"])
+    search.advance()
+    text = plan(_level(search.state, search.frontier, search.adjacent, 2))
+    outside = text[: text.index("InMemoryRelation")]
+    # the frontier by (vid, part), and the reached ones with the state by vid
+    assert outside.count("Exchange hashpartitioning") == 2
+    assert outside.count("Sort [") == 1
+    search.drop()
+
+
+def test_modularity_joins_the_edges_once(stored, no_broadcast):
+    vertices, edges = stored
+    labels = vertices.selectExpr("id", "id AS label")
+    for frame in (g.modularity(edges, labels), g.modularity_directed(edges, labels)):
+        # two joins for the labels of both ends; the other scans of the edges find hot keys
+        assert plan(frame).count("LeftOuter") >= 2
+        assert plan(frame).split("Subquery")[0].count("SortMergeJoin") == 2
+
+
 def test_scans_read_only_the_columns_needed(stored):
     text = plan(g.out_degrees(stored[1]))
     assert "ReadSchema: struct<src:string>" in text

@@ -213,8 +213,30 @@ def test_many_copies_of_one_edge(spark, split_hubs):
     assert ranks == pytest.approx(brute.pagerank(links, 3))
 
 
-def test_wide_frontiers_are_joined_without_broadcast(spark, split_hubs, monkeypatch):
-    monkeypatch.setattr("linkrank.operators.paths.BROADCAST_BYTES", -1)
+def test_degrees_that_do_not_fit_the_edges_are_an_error(spark):
+    once = frame(spark, [("a", "b"), ("a", "c")])
+    copies = frame(spark, [("a", "b"), ("a", "b"), ("a", "c")])
+    with pytest.raises(ValueError, match="3 links"):
+        g.pagerank(g.vertex_degrees(once), copies, iterations=1)
+    with pytest.raises(ValueError, match="6 links"):
+        g.min_label_rounds(g.vertex_degrees(once), copies)
+
+
+def test_null_ends_and_vertices_without_a_community(spark, split_hubs):
+    links = [("a", "b")] * 9 + [("b", "a"), ("a", None), (None, "b"), ("a", "z")] + [(None, "a")] * 9
+    edges = spark.createDataFrame(links, "src string, dst string").repartition(3)
+    labels = spark.createDataFrame([("a", "a"), ("b", "a")], "id string, label string")
+    assert g.intra_community_edges(edges, labels).first()[0] == 10
+    m, d_out, d_in = len(links), 12, 20
+    assert g.modularity(edges, labels).first()[0] == pytest.approx(
+        10 / (2 * m) - d_out**2 / (2 * m) / (4 * m * m)
+    )
+    assert g.modularity_directed(edges, labels).first()[0] == pytest.approx(10 / m - d_out * d_in / m**2)
+    assert g.intra_community_edges(edges.limit(0), labels).first()[0] == 0
+    assert g.modularity(edges.limit(0), labels).first()[0] is None
+
+
+def test_wide_levels(spark, split_hubs):
     links = random_graph(3)
     edges = frame(spark, links)
     found = as_dict(g.bfs_frontier_sizes(edges, "h", max_depth=3))

@@ -30,6 +30,20 @@ def test_parse_link_dump(spark, tmp_path, zipped):
     assert sorted(found) == sorted(LINKS)
 
 
+def test_packed_dumps_are_spread_only_if_few(spark, tmp_path, monkeypatch):
+    for k in range(3):
+        (tmp_path / f"dump-{k}.sql.gz").write_bytes(gzip.compress(DUMP.encode()))
+
+    def planned():
+        found = s.parse_link_dump(spark, str(tmp_path))
+        assert found.count() == 3 * len(LINKS)
+        return found._jdf.queryExecution().executedPlan().toString()
+
+    assert "Exchange" not in planned()
+    monkeypatch.setattr("linkrank.sources.link_dump.PACKED_BYTES_PER_PARTITION", 20)
+    assert "Exchange hashpartitioning(xxhash64(value" in planned()
+
+
 def test_long_dump_line(spark, tmp_path):
     path = tmp_path / "dump.sql"
     title = "x\\'" * 20000
