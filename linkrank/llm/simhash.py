@@ -10,7 +10,7 @@ that near. So a fingerprint is copied to those, and compared there with the ones
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -148,6 +148,17 @@ def simhash_groups(
         "classes",
     )
     pairs = scratch.write(links(classes.select("u"), bits), "links")
+    return named_groups(scratch, rows, classes, pairs, id)
+
+
+def named_groups(
+    scratch: Scratch, rows: DataFrame, classes: DataFrame, pairs: DataFrame, id: str = "doc_id"
+) -> DataFrame:
+    """The result of :func:`simhash_groups` from the links ``u, v`` between fingerprints.
+
+    ``rows`` has ``doc_id, text_hash, fingerprint``, and ``classes`` ``u, first, n``: the least id and
+    the number of rows of each fingerprint.
+    """
     labels = star_labels(scratch, pairs)
     linked = scratch.write(classes.join(labels, "u"), "linked")
     names = linked.groupBy("label").agg(F.min("first").alias("component_id"))
@@ -167,12 +178,17 @@ def simhash_groups(
     )
 
 
-def without_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of every group of :func:`simhash_groups`, unchanged: that with the smallest id.
+def without_near_duplicates(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    groups_of: Callable[[DataFrame, str, str], DataFrame] = simhash_groups,
+) -> DataFrame:
+    """One row of every group of ``groups_of``, unchanged: that with the smallest id.
 
     Of rows that share this id, one stays. A row without an id stays only if its group has no id.
     """
-    groups = simhash_groups(docs, id, text)
+    groups = groups_of(docs, id, text)
     no_id = F.lit(-(2**63))
     candidates = groups.where(
         F.col(id).eqNullSafe(F.col("component_id"))

@@ -1,0 +1,62 @@
+"""The near-duplicate stage against all pairs."""
+
+import random
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+from linkrank.llm import near_copies  # noqa: E402
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def components(sets, at_least=0.8):
+    parent = list(range(len(sets)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if jaccard(sets[i], sets[j]) >= at_least:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(k) for k in range(len(sets))]
+
+
+def planted():
+    rng = random.Random(3)
+    texts = [None, "", " \n", "two words", "two  WORDS"]
+    for group in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 300))]
+        texts.append(" ".join(base))
+        for _ in range(12 if group else 300):
+            copy = list(base)
+            for _ in range(max(1, int(len(base) * rng.uniform(0.0, 0.035)))):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_stage_groups_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "BLOCK", 16)
+    texts = planted()
+    expected = components([shingles(text) for text in texts])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_copies.near_copy_groups(docs).collect()}
+    wrong = [k for k in found if found[k] != expected[k]]
+    assert len(found) == len(texts)
+    assert len(wrong) <= 0.01 * len(texts), len(wrong)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert kept == set(found.values())
+    assert near_copies.near_copy_groups(docs.limit(0)).count() == 0
