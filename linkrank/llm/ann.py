@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by cosine: an NN-descent graph, its links searched greedily both ways.
 
-Equal vectors are one node, so a vector that a third of all rows share costs one node's work.
+Vectors of one direction are one node, so a vector that a third of all rows share costs one node's work.
 First neighbours come from blocks of vectors that are close in a random order; then every round
 joins each node's neighbours, and those it is a neighbour of, with one another and keeps the best.
-Vectors travel as directions of a byte per component; the answers are scored on the originals.
+Vectors travel as directions of four bytes per component. Lists hold cosines less 1, so that those of
+near copies differ; the answers are all vectors of the nodes kept, scored on the originals.
 
 In a search the links stay where they are, with the directions of the nodes they lead to. A round moves
 the queries to the nodes they expand, and back only what beats the worst node a query keeps.
@@ -32,15 +33,16 @@ STEP = 128  # nodes a search expands in a round
 NODES_PER_PARTITION = 50_000  # whose links lie together
 SEED = 11
 
-LISTS = "u long, v binary, s binary"  # a node, its neighbours (int64) and their cosines (float32)
+LISTS = "u long, v binary, s binary"  # a node, its neighbours (int64) and their cosines less 1 (float32)
 NAMES, TYPES = ["u", "v", "s"], [pa.int64(), pa.binary(), pa.binary()]
 
 
 @dataclass(frozen=True)
 class NeighbourGraph:
     scratch: Scratch
-    nodes: DataFrame  # node, x (the vector), unit (its direction, a signed byte per component)
-    rows: DataFrame  # node, id
+    nodes: DataFrame  # node, unit (its direction, a float32 per component)
+    points: DataFrame  # point, node, x: the distinct vectors
+    rows: DataFrame  # point, id
     graph: DataFrame  # LISTS
     links: DataFrame  # u, members (int64), units: both ways, at most twice the neighbours
 
@@ -60,7 +62,7 @@ def _table(column: pa.Array) -> np.ndarray:
 
 
 def _directions(codes: bytes, n: int) -> np.ndarray:
-    x = np.frombuffer(codes, "i1").reshape(n, -1).astype("f4")
+    x = np.frombuffer(codes, "<f4").reshape(n, -1).astype("f8")
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -68,8 +70,8 @@ def _codes(vectors: list, width: int) -> np.ndarray:
     x = np.zeros((len(vectors), width))
     for k, one in enumerate(vectors):
         x[k, : len(one)] = one
-    x /= np.abs(x).max(axis=1, keepdims=True)  # the largest component becomes 127, so none is all zero
-    return np.rint(127 * x).astype("i1")
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that no square is beyond a double
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("<f4")
 
 
 def _lists(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -99,11 +101,11 @@ def build_graph(
     rows = vectors.where(F.col(id).isNotNull() & usable(vector)).select(
         F.col(id).cast("long").alias("id"), F.col(vector).alias("x")
     )
-    # nodes are named by the smallest id and a hash, as one id may have several vectors
+    # points are named by the smallest id and a hash
     named = rows.groupBy("x").agg(F.min("id").alias("least"))
-    named = scratch.write(named.select("x", F.xxhash64("least", "x").alias("node")), "classes")
+    named = scratch.write(named.select("x", F.xxhash64("least", "x").alias("point")), "classes")
     width = named.select(F.max(F.size("x"))).first()[0] or 1
-    members = scratch.write(rows.join(named, "x").select("node", "id"), "members")
+    members = scratch.write(rows.join(named, "x").select("point", "id"), "members")
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,9 +116,9 @@ def build_graph(
                     [*batch.schema.names, "unit"],
                 )
 
-    nodes = scratch.write(
-        named.mapInArrow(unit, named.select("*").schema.add("unit", "binary")), "nodes"
-    )
+    coded = named.mapInArrow(unit, named.select("*").schema.add("unit", "binary"))
+    points = scratch.write(coded.withColumn("node", F.xxhash64("unit")), "points")
+    nodes = scratch.write(points.groupBy("node").agg(F.first("unit").alias("unit")), "nodes")
     first = [_blocks(nodes, order, width, neighbours) for order in range(ORDERS)]
     lists = first[0]
     for more in first[1:]:
@@ -127,7 +129,7 @@ def build_graph(
         graph = scratch.write(_best(graph.unionByName(found), neighbours), f"graph-{done + 1}")
         scratch.drop(f"graph-{done}")
     links = scratch.write(_links(nodes, graph, neighbours), "links")
-    return NeighbourGraph(scratch, nodes, members, graph, links)
+    return NeighbourGraph(scratch, nodes, points, members, graph, links)
 
 
 def _blocks(nodes: DataFrame, order: int, width: int, neighbours: int) -> DataFrame:
@@ -173,7 +175,7 @@ def _all_pairs(members: np.ndarray, x: np.ndarray, neighbours: int) -> list[tupl
     """The nearest others of each member."""
     if len(members) < 2:
         return [(int(u), np.empty(0, "i8"), np.empty(0, "f4")) for u in members]
-    near = x @ x.T
+    near = x @ x.T - 1
     np.fill_diagonal(near, -np.inf)
     k = min(neighbours, len(members) - 1)
     best = np.argpartition(-near, k - 1, axis=1)[:, :k]
@@ -240,7 +242,7 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
     def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.frombuffer(b, "<f4") for b in batch.column("s").to_pylist()]
-            low = [float(one[-1]) if len(one) >= neighbours else -2.0 for one in found]
+            low = [float(one[-1]) if len(one) >= neighbours else -3.0 for one in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("u"), pa.array(low, pa.float32())], ["node", "low"]
             )
@@ -264,8 +266,8 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
                 rows = []
                 for a, b in zip([0, *ends[:-1]], ends, strict=True):
                     ids, x = member[a:b], unit[a:b]
-                    near = x @ x.T
-                    np.fill_diagonal(near, -3.0)
+                    near = (x @ x.T - 1).astype("f4")
+                    np.fill_diagonal(near, -9.0)
                     better = near > low[a:b, None]
                     for i in np.flatnonzero(better.any(axis=1)):
                         others = np.flatnonzero(better[i])
@@ -313,9 +315,9 @@ def search(
         F.col("query_id").cast("long").alias("query_id"), "x"
     )
     n_nodes = nodes.count()
-    width_of = len(nodes.select("unit").first()[0]) if n_nodes else 1
-    owned = asked.join(nodes.select("x", "node"), "x", "left")
-    owned = owned.withColumn("q", F.coalesce("node", F.xxhash64(F.lit("outside"), "x")))
+    width_of = len(nodes.select("unit").first()[0]) // 4 if n_nodes else 1
+    owned = asked.join(index.points.select("x", "point", "node"), "x", "left")
+    owned = owned.withColumn("q", F.coalesce("point", F.xxhash64(F.lit("outside"), "x")))
     owned = scratch.write(owned.select("query_id", "q", "node", "x"), "queries")
     start_ids, start_x, expanded = _starts(nodes, links, width_of)
 
@@ -340,10 +342,10 @@ def search(
             rows = []
             for q, node, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 unit = _codes([x], max(width_of, len(x)))[0][:width_of].tobytes()
-                v, s, seen = start_ids, start_x @ _query(unit), expanded
+                v, s, seen = start_ids, start_x @ _query(unit) - 1, expanded
                 if node is not None:
                     other = v != node
-                    v, s = np.append(v[other], node), np.append(s[other], np.float32(1.0))
+                    v, s = np.append(v[other], node), np.append(s[other], 0.0)
                     seen = np.append(seen[other], False)
                 rows.append(state_of(q, unit, v, s, seen))
             yield batch_of(rows)
@@ -360,7 +362,7 @@ def search(
                 chosen = v[np.flatnonzero(~np.frombuffer(seen, "?"))[:step]]
                 qs += [q] * len(chosen)
                 units += [unit] * len(chosen)
-                lows += [float(s[-1]) if len(s) >= width else -2.0] * len(chosen)
+                lows += [float(s[-1]) if len(s) >= width else -3.0] * len(chosen)
                 us += chosen.tolist()
             columns = [(qs, pa.int64()), (units, pa.binary()), (lows, pa.float32()), (us, pa.int64())]
             yield pa.RecordBatch.from_arrays(
@@ -372,7 +374,7 @@ def search(
             rows = []
             for q, unit, low, members, units in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = np.frombuffer(members, "<i8")
-                near = _directions(units, len(ids)) @ _query(unit)
+                near = (_directions(units, len(ids)) @ _query(unit) - 1).astype("f4")
                 better = np.flatnonzero(near > low)
                 if len(better):
                     rows.append((q, ids[better], near[better]))
@@ -420,9 +422,10 @@ def search(
 
 
 def _query(unit: bytes) -> np.ndarray:
-    """A query's direction; zero if all its components lie beyond the width of the nodes."""
-    x = np.frombuffer(unit, "i1").astype("f4")
-    return x / max(np.linalg.norm(x), np.float32(1.0))
+    """A query's direction; shorter, or zero, if components of it lie beyond the width of the nodes."""
+    x = np.frombuffer(unit, "<f4").astype("f8")
+    n = np.linalg.norm(x)
+    return x / n if abs(n - 1) < 1e-6 else x
 
 
 def _starts(
@@ -439,7 +442,7 @@ def _starts(
         found |= {v: (row.units[k * size : (k + 1) * size], False) for k, v in enumerate(ids)}
     found |= {row.node: (bytes(row.unit), True) for row in entries.collect()}
     if not found:
-        return np.empty(0, "i8"), np.zeros((0, width), "f4"), np.empty(0, "?")
+        return np.empty(0, "i8"), np.zeros((0, width)), np.empty(0, "?")
     codes = b"".join(bytes(code) for code, _ in found.values())
     return (
         np.array(list(found), "i8"),
@@ -449,14 +452,13 @@ def _starts(
 
 
 def _answers(index: NeighbourGraph, owned: DataFrame, state: DataFrame, k: int) -> DataFrame:
-    """Exact scores of the best nodes, their rows, and the ranks."""
-    nodes = index.nodes.select("node", "x")
+    """Exact scores of all vectors of the nodes that were kept, their rows, and the ranks."""
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             qs, vs = [], []
             for q, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                chosen = np.frombuffer(v, "<i8")[: 4 * k + 4]
+                chosen = np.frombuffer(v, "<i8")
                 qs += [q] * len(chosen)
                 vs += chosen.tolist()
             yield pa.RecordBatch.from_arrays(
@@ -471,19 +473,19 @@ def _answers(index: NeighbourGraph, owned: DataFrame, state: DataFrame, k: int)
                 a, b = np.array(a, "f8"), np.array(b, "f8")
                 scores.append(float(a[:n] @ b[:n] / (np.sqrt(a @ a) * np.sqrt(b @ b))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("q"), batch.column("node"), pa.array(scores, pa.float64())],
-                ["q", "node", "score"],
+                [batch.column("q"), batch.column("point"), pa.array(scores, pa.float64())],
+                ["q", "point", "score"],
             )
 
     vectors = owned.groupBy("q").agg(F.first("x").alias("qx"))
     pairs = state.select("q", "v").mapInArrow(best, "q long, node long")
     scored = (
-        pairs.join(nodes, "node")
+        pairs.join(index.points, "node")
         .join(vectors, "q")
-        .select("q", "node", "qx", "x")
-        .mapInArrow(score, "q long, node long, score double")
+        .select("q", "point", "qx", "x")
+        .mapInArrow(score, "q long, point long, score double")
     )
-    by_id = Window.partitionBy("node").orderBy("id")
+    by_id = Window.partitionBy("point").orderBy("id")
     members = (
         index.rows.distinct()
         .withColumn("place", F.row_number().over(by_id))
@@ -492,7 +494,7 @@ def _answers(index: NeighbourGraph, owned: DataFrame, state: DataFrame, k: int)
     )
     order = [F.desc("score"), F.asc("id")]
     per_vector = (
-        scored.join(members, "node")
+        scored.join(members, "point")
         .withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(*order)))
         .where(F.col("place") <= k + 1)
         .select("q", "id", "score")
