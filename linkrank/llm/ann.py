@@ -26,7 +26,7 @@ from linkrank.plans import Scratch
 NEIGHBOURS = 20
 ORDERS = 4  # random orders for the first neighbours
 BLOCK = 128  # vectors of a block, all compared with each other
-ROUNDS = 3  # of joining neighbours of neighbours
+SETTLED = 0.001  # joins end when a round changes no larger part of the neighbours
 ENTRIES = 64  # nodes every search starts from
 WIDTH = 512  # best nodes a search keeps; it ends when all of them have been expanded
 STEP = 128  # nodes a search expands in a round
@@ -90,7 +90,7 @@ def build_graph(
     id: str = "vec_id",
     vector: str = "embedding",
     neighbours: int = NEIGHBOURS,
-    rounds: int = ROUNDS,
+    settled: float = SETTLED,
 ) -> NeighbourGraph:
     """The neighbour graph of all usable rows.
 
@@ -124,10 +124,13 @@ def build_graph(
     for more in first[1:]:
         lists = lists.unionByName(more)
     graph = scratch.write(_best(lists, neighbours), "graph-0")
-    for done in range(rounds):
-        found = _local_joins(nodes, graph, neighbours)
-        graph = scratch.write(_best(graph.unionByName(found), neighbours), f"graph-{done + 1}")
+    done, changed, entries = 0, 1, 0
+    while changed > settled * entries:
+        found = _local_joins(nodes, graph, neighbours, done)
+        better = scratch.write(_best(graph.unionByName(found), neighbours), f"graph-{done + 1}")
+        changed, entries = _changes(graph, better)
         scratch.drop(f"graph-{done}")
+        graph, done = better, done + 1
     links = scratch.write(_links(nodes, graph, neighbours), "links")
     return NeighbourGraph(scratch, nodes, points, members, graph, links)
 
@@ -208,10 +211,27 @@ def _top(v: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return v[keep], s[keep]
 
 
-def _both_ways(graph: DataFrame, neighbours: int) -> DataFrame:
+def _changes(before: DataFrame, after: DataFrame) -> tuple[int, int]:
+    """How many neighbours are new, and how many there are."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = there = 0
+            for old, now in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                old, now = np.frombuffer(old, "<i8"), np.frombuffer(now, "<i8")
+                new += int((~np.isin(now, old)).sum())
+                there += len(now)
+            yield pa.RecordBatch.from_arrays([pa.array([new]), pa.array([there])], ["new", "there"])
+
+    both = before.select("u", F.col("v").alias("old")).join(after.select("u", "v"), "u")
+    counted = both.select("old", "v").mapInArrow(count, "new long, there long")
+    return tuple(n or 0 for n in counted.agg(F.sum("new"), F.sum("there")).first())
+
+
+def _both_ways(graph: DataFrame, neighbours: int, turn: int = 0) -> DataFrame:
     """``center, member``: a node's neighbours, and nodes that have it as theirs.
 
-    Of the latter as many as it may have itself, chosen by a hash: a node may be near to very many.
+    Of the latter as many as it may have itself, chosen by a hash: a node may be near to very many. Each ``turn`` chooses others.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +242,7 @@ def _both_ways(graph: DataFrame, neighbours: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(pairs, ["center", "member"])
 
     pairs = graph.select("u", "v").mapInArrow(split, "center long, member long")
-    near = Window.partitionBy("center").orderBy(F.xxhash64("center", "member"))
+    near = Window.partitionBy("center").orderBy(F.xxhash64("center", "member", F.lit(turn)))
     back = (
         pairs.select(F.col("member").alias("center"), F.col("center").alias("member"))
         .withColumn("place", F.row_number().over(near))
@@ -232,7 +252,7 @@ def _both_ways(graph: DataFrame, neighbours: int) -> DataFrame:
     return pairs.unionByName(back).distinct()
 
 
-def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFrame:
+def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int, turn: int) -> DataFrame:
     """Compare the neighbours of every node with one another: neighbours of neighbours.
 
     Nodes that have it as their neighbour take part too. Only what would enter a member's list is
@@ -250,7 +270,7 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int) -> DataFra
     known = graph.select("u", "s").mapInArrow(lowest, "node long, low float")
     told = nodes.select("node", "unit").join(known, "node").withColumnRenamed("node", "member")
     groups = (
-        _both_ways(graph, neighbours)
+        _both_ways(graph, neighbours, turn)
         .join(told, "member")
         .groupBy("center")
         .agg(F.collect_list(F.struct("member", "unit", "low")).alias("members"))

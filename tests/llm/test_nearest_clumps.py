@@ -33,3 +33,19 @@ def test_copies(spark):
     hits = [len(found[q] & {j for _, j in exact[q]}) / 5 for q in asked]
     assert min(np.mean(hits[:15]), np.mean(hits[15:30]), np.mean(hits[30:])) >= 0.95, hits
     assert found[600] == {601, 602, 603, 604, 605}
+
+
+def test_joins_go_on_until_lists_settle(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 24))
+    vectors = spark.createDataFrame(
+        [(k, one.tolist()) for k, one in enumerate(x)], "vec_id long, embedding array<double>"
+    )
+    index = ann.build_graph(vectors)
+    again = ann._best(
+        index.graph.unionByName(ann._local_joins(index.nodes, index.graph, ann.NEIGHBOURS, 99)),
+        ann.NEIGHBOURS,
+    )
+    changed, entries = ann._changes(index.graph, again)
+    assert entries == 6000 * ann.NEIGHBOURS
+    assert changed <= 0.005 * entries
