@@ -188,6 +188,8 @@ def without_near_duplicates(
 
     Of rows that share this id, one stays. A row without an id stays only if its group has no id.
     """
+    key = free_name(docs.columns, "_key")
+    hashed = free_name(docs.columns, "_hash")
     groups = groups_of(docs, id, text)
     no_id = F.lit(-(2**63))
     candidates = groups.where(
@@ -197,11 +199,11 @@ def without_near_duplicates(
     chosen = (
         candidates.groupBy("component")
         .agg(F.min("row").alias("row"))
-        .select(F.col("row.key").alias("_key"), F.col("row.text_hash").alias("_hash"))
+        .select(F.col("row.key").alias(key), F.col("row.text_hash").alias(hashed))
     )
     keyed = docs.withColumns(
-        {"_key": F.coalesce(F.col(id).cast("long"), no_id), "_hash": F.xxhash64(text)}
+        {key: F.coalesce(F.col(id).cast("long"), no_id), hashed: F.xxhash64(text)}
     )
-    stays = keyed.join(chosen.distinct(), ["_key", "_hash"], "left_semi")
-    one = stays.groupBy("_key", "_hash").agg(F.first(F.struct(*docs.columns)).alias("row"))
+    stays = keyed.join(chosen.distinct(), [key, hashed], "left_semi")
+    one = stays.groupBy(key, hashed).agg(F.first(F.struct(*docs.columns)).alias("row"))
     return one.select("row.*")

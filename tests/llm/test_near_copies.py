@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 from linkrank.llm import near_copies  # noqa: E402
+from linkrank.llm.simhash import without_near_duplicates  # noqa: E402
 
 
 def shingles(text):
@@ -60,3 +61,9 @@ def test_stage_groups_near_copies(spark, monkeypatch):
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
     assert kept == set(found.values())
     assert near_copies.near_copy_groups(docs.limit(0)).count() == 0
+
+
+def test_rows_with_clashing_names_stay_unchanged(spark):
+    rows = [(1, "a text of some words", "k", "h"), (2, "another one", "l", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, _hash string")
+    assert sorted(map(tuple, without_near_duplicates(docs).collect())) == rows
