@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from linkrank.llm.licenses import BASE, COVERAGE, TEMPLATES
+from linkrank.llm.merkle import FAN
 from linkrank.llm.mixing import DIGITS, POWER, SEED
 from linkrank.llm.quality_rules import LATEST, POLICIES, RULES, mask_of
+from linkrank.llm.substrings import WINDOW
 
 WARC = """
 WITH p AS (
@@ -132,9 +134,140 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM bits
 """
 
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of a text of ASCII characters, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+        [CAST(4294967295 AS BIGINT)] || [CAST(ascii(c) AS BIGINT) FOR c IN string_split({text}, '')],
+        lambda a, b: list_reduce([xor(a, b)] || [CAST(0 AS BIGINT) FOR i IN range(8)],
+            lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+PREFIX_TRIE = f"""
+WITH t AS (
+    SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), f AS (
+    SELECT c, c - c % 100 AS head, turns, {_crc32("CAST(c AS VARCHAR)")} % 6 AS h FROM t
+), b AS (
+    SELECT f.c, CASE WHEN t.c IS NULL THEN f.turns[f.h + 1:]
+        ELSE list_concat(t.turns[1:f.h], f.turns[f.h + 1:]) END AS turns
+    FROM f LEFT JOIN t ON t.c = f.head
+), p AS (
+    SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM b
+), n AS MATERIALIZED (
+    SELECT turns[1:d] AS path, d, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(
+        string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(turns) = d), '')) AS ends_sha256
+    FROM p GROUP BY ALL
+), kids AS (
+    SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), own AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN d > 0 THEN (n_convs - 1) * length(path[d].text) ELSE 0 END AS saved
+    FROM n LEFT JOIN kids USING (path, d)
+), above AS (
+    SELECT path[1:a] AS path, a AS d, sum(saved) AS saved_tokens,
+        count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(d + 1)) AS a FROM own) GROUP BY ALL
+)
+SELECT own.conv_id, CAST(own.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, own.n_convs,
+    own.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, own.ends_sha256
+FROM own JOIN above USING (path, d)
+LEFT JOIN own q ON q.d = own.d - 1 AND q.path = own.path[1:own.d - 1] AND own.d > 0
+"""
+
+SUBSTRINGS = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array(
+        coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS list FROM documents
+), w AS (
+    SELECT r, doc_id, i, array_to_string(list[i:i + {WINDOW - 1}], ' ') AS words
+    FROM (SELECT *, unnest(range(1, len(list) - {WINDOW - 2})) AS i FROM d)
+), m AS (
+    SELECT words, min(doc_id) AS first FROM w GROUP BY words
+), gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS k
+    FROM w JOIN m USING (words) WHERE first < doc_id
+), each AS (
+    SELECT r, unnest(list) AS word, unnest(range(1, len(list) + 1)) AS k FROM d
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY k) AS text, count(*) AS n
+    FROM each ANTI JOIN gone USING (r, k) GROUP BY r
+)
+SELECT doc_id, CAST(len(list) AS BIGINT) AS n_words,
+    CAST(len(list) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    parts = [f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """The nodes of the trees over ``leaves`` (``g, place, size, digest``), and their siblings."""
+    run = f"PARTITION BY g, level, place // {FAN} ORDER BY place ROWS BETWEEN"
+    return f"""{name}(g, level, place, size, digest) AS (
+    SELECT g, 0, place, size, digest FROM {leaves}
+    UNION ALL
+    SELECT g, level + 1, place // {FAN}, (size + {FAN - 1}) // {FAN},
+        sha256(string_agg(digest, '' ORDER BY place))
+    FROM {name} WHERE size > 1 GROUP BY g, level, place // {FAN}, size
+), {name}_siblings AS MATERIALIZED (
+    SELECT g, level, place,
+        coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+        coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+    FROM {name} WHERE size > 1
+)"""
+
+
+def _walk(name: str, tree: str, start: str) -> str:
+    """From the nodes ``r, g, place, proof, folded`` of ``start`` up to the root of their tree."""
+    return f"""{name}(r, g, level, place, proof, folded) AS (
+    SELECT r, g, 0, place, proof, folded FROM {start}
+    UNION ALL
+    SELECT r, w.g, w.level + 1, w.place // {FAN}, proof || b || a, sha256(b || folded || a)
+    FROM {name} w JOIN {tree}_siblings s ON s.g = w.g AND s.level = w.level AND s.place = w.place
+), {name}_top AS (SELECT r, g, proof, folded FROM {name} QUALIFY level = max(level) OVER (PARTITION BY r))"""
+
+
+_LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+MANIFEST = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('1' || source, '0') AS g,
+        {_leaf("text")} AS leaf, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0
+            THEN {_leaf(_LOW)} ELSE {_leaf("text")} END AS found
+    FROM documents
+), leaves AS MATERIALIZED (
+    SELECT *, leaf AS digest, count(*) OVER (PARTITION BY g) AS size, row_number() OVER (
+        PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d
+), {_tree("inner_tree", "leaves")}, sources AS MATERIALIZED (
+    SELECT '' AS g, g AS source, digest, count(*) OVER () AS size,
+        row_number() OVER (ORDER BY g) - 1 AS place
+    FROM inner_tree WHERE size = 1
+), {_tree("outer_tree", "sources")},
+inner_start AS (SELECT r, g, place, '' AS proof, found AS folded FROM leaves),
+{_walk("inner_walk", "inner_tree", "inner_start")},
+outer_start AS (
+    SELECT r, s.g, s.place, proof, folded FROM inner_walk_top w JOIN sources s ON s.source = w.g
+), {_walk("outer_walk", "outer_tree", "outer_start")}
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(proof) AS proof_sha256,
+    folded AS folded_root, folded = root AS verified
+FROM leaves JOIN sources s ON s.source = leaves.g JOIN outer_walk_top w USING (r)
+CROSS JOIN (SELECT digest AS root FROM outer_tree WHERE size = 1)
+"""
+
 LLM_ORACLES = {
     "op2_warc": WARC,
     "op3_licenses": _licenses(),
     "op5_mixing": MIXING,
     "op7_quality_rules": QUALITY_RULES,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_substrings": SUBSTRINGS,
+    "op13_manifest": MANIFEST,
 }

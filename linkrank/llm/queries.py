@@ -9,18 +9,23 @@ from linkrank.llm import (
     ann,
     langid,
     licenses,
+    merkle,
     mixing,
     packing,
     quality_classifier,
     quality_rules,
     secrets,
     simhash,
+    substrings,
+    trie,
     warc,
 )
-from linkrank.llm.common import held_out, table
+from linkrank.llm.common import ascii_lower, held_out, table
+from linkrank.plans import Scratch
 
 QUERY_STEP = 50  # vectors whose id it divides are the queries
 NEAREST = 5
+FAMILY = 100  # conversations that begin like the first of them
 
 
 def tokenizer_path() -> str:
@@ -142,10 +147,52 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """``conv, turns`` of all conversations, the first 0 to 5 turns of each taken from another one."""
+    lists = trie.turn_lists(table(spark, folder, "conversations"))
+    lists = Scratch(spark).write(lists, "turns")
+    heads = lists.where(F.col("conv") % FAMILY == 0).select(
+        F.col("conv").alias("head"), F.slice("turns", 1, 5).alias("begin")
+    )
+    own = lists.withColumns(
+        {
+            "head": F.col("conv") - F.col("conv") % FAMILY,
+            "h": (F.crc32(F.col("conv").cast("string")) % 6).cast("int"),
+        }
+    )
+    return own.join(heads, "head", "left").selectExpr(
+        "conv",
+        "concat(IF(begin IS NULL, slice(turns, 1, 0), slice(begin, 1, h)),"
+        " slice(turns, h + 1, size(turns))) AS turns",
+    )
+
+
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All beginnings that the rebuilt conversations share."""
+    return trie.prefix_nodes(rebuilt(spark, folder))
+
+
+def op12_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words that earlier ones have in runs of 13 or more."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.without_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, checked on texts of which a fifth have lost their capitals."""
+    docs = table(spark, folder, "documents").select(*merkle.COLUMNS)
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(touched, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return merkle.manifest(docs, suspect={"text": text})
+
+
 LLM_QUERIES = {
     query.__name__: query
     for query in (
         op1_packing, op2_warc, op3_licenses, op4_langid, op5_mixing, op6_simhash,
-        op7_quality_rules, op8_quality_classifier, op9_nearest, op10_secrets,
+        op7_quality_rules, op8_quality_classifier, op9_nearest, op10_secrets, op11_prefix_trie,
+        op12_substrings, op13_manifest,
     )
 }

@@ -187,3 +187,101 @@ def digest(spans: list[tuple[int, int, int]], kinds=("assign", "access", "hex",
 
 def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def without_repeats(rows: list[tuple], window: int = 13) -> list[tuple]:
+    """``id, n_words, n_removed, text`` of every row, windows compared as tuples."""
+    first: dict[tuple, int] = {}
+    lists = [(key, WORD.findall(text or "")) for key, text in rows]
+    for key, words in lists:
+        for k in range(len(words) - window + 1):
+            seq = tuple(words[k : k + window])
+            if key is not None and key <= first.get(seq, key):
+                first[seq] = key
+    out = []
+    for key, words in lists:
+        gone = set()
+        for k in range(len(words) - window + 1):
+            if key is not None and first[tuple(words[k : k + window])] < key:
+                gone.update(range(k, k + window))
+        kept = " ".join(word for k, word in enumerate(words) if k not in gone)
+        out.append((key, len(words), len(gone), kept))
+    return out
+
+
+def rebuilt(rows: list[tuple]) -> dict[int, list[tuple]]:
+    """The conversations ``conv_id, turn, role, text`` with beginnings from another one."""
+    turns: dict[int, list] = {}
+    for key, turn, role, text in rows:
+        if key is not None:
+            turns.setdefault(key, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {key: [one[2:] for one in sorted(some, key=lambda t: t[:2])] for key, some in turns.items()}
+    result = {}
+    for key, some in own.items():
+        h = zlib.crc32(str(key).encode()) % 6
+        result[key] = own.get(key - key % 100, [])[:h] + some[h:]
+    return result
+
+
+def prefix_nodes(convs: dict[int, list[tuple]]) -> list[tuple]:
+    """A row per distinct beginning, from a dictionary of all of them."""
+    members: dict[tuple, list[int]] = {}
+    for key, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(key)
+    children = Counter(path[:-1] for path in members if path)
+    leaves, saved = Counter(), Counter()
+    for path, keys in members.items():
+        own = (len(keys) - 1) * len(path[-1][1]) if path else 0
+        for d in range(len(path) + 1):
+            saved[path[:d]] += own
+            leaves[path[:d]] += children[path] == 0
+    out = []
+    for path, keys in members.items():
+        ends = sorted(key for key in keys if len(convs[key]) == len(path))
+        parent = min(members[path[:-1]]) if path else None
+        out.append((min(keys), len(path), parent, len(keys), children[path], leaves[path], saved[path],
+                    sha256(",".join(map(str, ends)))))
+    return out
+
+
+def leaf(values: tuple) -> str:
+    return sha256("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def climb(nodes: list[str], fan: int = 16) -> tuple[str, list[list[tuple[str, str]]]]:
+    """The root over the nodes and, for each, what stands before and after it on every level."""
+    paths: list[list] = [[] for _ in nodes]
+    place = list(range(len(nodes)))
+    while len(nodes) > 1:
+        for k, own in enumerate(place):
+            run = own // fan * fan
+            paths[k].append(("".join(nodes[run:own]), "".join(nodes[own + 1 : run + fan])))
+            place[k] = own // fan
+        nodes = [sha256("".join(nodes[k : k + fan])) for k in range(0, len(nodes), fan)]
+    return nodes[0], paths
+
+
+def manifest(rows: list[tuple]) -> list[tuple]:
+    """The manifest of rows ``doc_id, source, lang, n_chars, text``, checked on lower-cased texts."""
+    sources: dict = {}
+    for row in rows:
+        sources.setdefault(row[1], []).append(row)
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = []
+    for name in names:
+        some = sorted(sources[name], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees.append((some, *climb([leaf(row) for row in some])))
+    root, tops = climb([subroot for _, subroot, _ in trees])
+    out = []
+    for (some, subroot, paths), top in zip(trees, tops, strict=True):
+        for row, path in zip(some, paths, strict=True):
+            found = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4]:
+                found = (*row[:4], row[4].translate(LOWER))
+            folded = leaf(found)
+            for before, after in path + top:
+                folded = sha256(before + folded + after)
+            proof = sha256("".join(before + after for before, after in path + top))
+            out.append((row[0], leaf(row), subroot, root, proof, folded, folded == root))
+    return out
