@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from linkrank.llm.common import table
 from linkrank.llm.mixing import replicated
-from linkrank.llm.near_copies import near_copy_groups
 from linkrank.llm.packing import pack
 from linkrank.llm.quality_classifier import good_documents
 from linkrank.llm.queries import tokenizer_path
@@ -22,32 +21,46 @@ from linkrank.plans import Scratch
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go.
 
-    Rows with null or empty texts are scored like any other; repeated rows share their fate.
+    Rows with null or empty texts are scored like any other, long texts as a whole; repeated rows share
+    their fate. An empty table stays empty.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return good_documents(docs, labels)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id.
+    """One document of each SimHash group stays, the one with the smallest id.
 
-    Near copies have a Jaccard similarity of 0.8 or more over shingles of five words.
+    Fingerprints over shingles of three words link at 3 or fewer differing bits. Documents without words, with null
+    or empty texts among them, are one group; of repeated rows one stays. An empty table stays empty.
     """
-    return without_near_duplicates(docs, groups_of=near_copy_groups)
+    return without_near_duplicates(docs, shingle=3, bits=3)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; every document stays."""
+    """Secrets are masked in the texts, and ``n_chars`` follows; every document stays.
+
+    Null and empty texts are left as they are, long ones are scanned whole, repeated rows stay repeated. An
+    empty table stays empty.
+    """
     return redacted(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated so that sources count with the root of their size, and shuffled."""
+    """Documents are repeated so that sources count with the root of their size, and shuffled.
+
+    A null source is one of its own, texts are only carried along. Rows of one id, null ones too, are repeated
+    equally often. An empty table stays empty.
+    """
     return replicated(docs).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 1024 tokens."""
+    """The pieces of all documents with their places in sequences of 1024 tokens.
+
+    A null or empty text is the one token that ends it, a long one is cut into pieces, repeated rows are
+    packed once each. An empty table has no pieces.
+    """
     return pack(
         docs.select("doc_id", "source", "text"),
         tokenizer_path(),
