@@ -2,7 +2,8 @@
 
 Vectors of one direction are one node, so a vector that a third of all rows share costs one node's work.
 First neighbours come from blocks of vectors that are close in a random order; then every round
-joins each node's neighbours, and those it is a neighbour of, with one another and keeps the best.
+joins each node's neighbours, and those it is a neighbour of, with one another and keeps the best. A pair
+is only compared if one of the two is new there, so rounds get cheaper as the lists settle.
 Vectors travel as directions of four bytes per component. Lists hold cosines less 1, so that those of
 near copies differ; the answers are all vectors of the nodes kept, scored on the originals.
 
@@ -13,27 +14,33 @@ the queries to the nodes they expand, and back only what beats the worst node a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkrank.plans import Scratch
+from linkrank.plans import Scratch, heaviest, salted_join
 
 NEIGHBOURS = 20
 ORDERS = 4  # random orders for the first neighbours
 BLOCK = 128  # vectors of a block, all compared with each other
-SETTLED = 0.001  # joins end when a round changes no larger part of the neighbours
+SETTLED = 0.01  # joins end when a round changes no larger part of the neighbours
 ENTRIES = 64  # nodes every search starts from
 WIDTH = 512  # best nodes a search keeps; it ends when all of them have been expanded
 STEP = 128  # nodes a search expands in a round
 NODES_PER_PARTITION = 50_000  # whose links lie together
 SEED = 11
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_AT_ONCE = 256  # of 10 KB or so, with the directions of all neighbours, that a worker holds
 
 LISTS = "u long, v binary, s binary"  # a node, its neighbours (int64) and their cosines less 1 (float32)
+# a node's list with the number of its neighbours, and which of them the last round brought (a byte each)
+GRAPH = LISTS + ", new binary, n_new long, n long"
 NAMES, TYPES = ["u", "v", "s"], [pa.int64(), pa.binary(), pa.binary()]
 
 
@@ -43,7 +50,7 @@ class NeighbourGraph:
     nodes: DataFrame  # node, unit (its direction, a float32 per component)
     points: DataFrame  # point, node, x: the distinct vectors
     rows: DataFrame  # point, id
-    graph: DataFrame  # LISTS
+    graph: DataFrame  # GRAPH
     links: DataFrame  # u, members (int64), units: both ways, at most twice the neighbours
 
 
@@ -102,10 +109,12 @@ def build_graph(
         F.col(id).cast("long").alias("id"), F.col(vector).alias("x")
     )
     # points are named by the smallest id and a hash
-    named = rows.groupBy("x").agg(F.min("id").alias("least"))
-    named = scratch.write(named.select("x", F.xxhash64("least", "x").alias("point")), "classes")
-    width = named.select(F.max(F.size("x"))).first()[0] or 1
-    members = scratch.write(rows.join(named, "x").select("point", "id"), "members")
+    named = rows.groupBy("x").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    named = scratch.write(named.select("x", F.xxhash64("least", "x").alias("point"), "n"), "classes")
+    width, most = named.agg(F.max(F.size("x")), F.max("n")).first()
+    width, hot = width or 1, heaviest(named, "x", "n", at_most=most or 0)
+    named = named.drop("n")
+    members = scratch.write(salted_join(rows, named, "x", hot).select("point", "id"), "members")
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,19 +128,22 @@ def build_graph(
     coded = named.mapInArrow(unit, named.select("*").schema.add("unit", "binary"))
     points = scratch.write(coded.withColumn("node", F.xxhash64("unit")), "points")
     nodes = scratch.write(points.groupBy("node").agg(F.first("unit").alias("unit")), "nodes")
-    first = [_blocks(nodes, order, width, neighbours) for order in range(ORDERS)]
-    lists = first[0]
-    for more in first[1:]:
-        lists = lists.unionByName(more)
-    graph = scratch.write(_best(lists, neighbours), "graph-0")
-    done, changed, entries = 0, 1, 0
-    while changed > settled * entries:
-        found = _local_joins(nodes, graph, neighbours, done)
-        better = scratch.write(_best(graph.unionByName(found), neighbours), f"graph-{done + 1}")
-        changed, entries = _changes(graph, better)
-        scratch.drop(f"graph-{done}")
-        graph, done = better, done + 1
-    links = scratch.write(_links(nodes, graph, neighbours), "links")
+    with _small_batches(nodes.sparkSession):
+        lists = _blocks(nodes, 0, width, neighbours)
+        for order in range(1, ORDERS):
+            lists = lists.unionByName(_blocks(nodes, order, width, neighbours))
+        graph = scratch.write(_best(lists.withColumn("found", F.lit(True)), neighbours), "graph-0")
+        done, (changed, entries) = 0, _changes(graph)
+        while changed > settled * entries:
+            found = _local_joins(scratch, nodes, graph, neighbours, done)
+            both = graph.select("u", "v", "s", F.lit(False).alias("found")).unionByName(
+                found.withColumn("found", F.lit(True))
+            )
+            better = scratch.write(_best(both, neighbours), f"graph-{done + 1}")
+            scratch.drop(f"graph-{done}", f"pairs-{done}")
+            graph, done = better, done + 1
+            changed, entries = _changes(graph)
+        links = scratch.write(_links(nodes, graph, neighbours), "links")
     return NeighbourGraph(scratch, nodes, points, members, graph, links)
 
 
@@ -186,22 +198,32 @@ def _all_pairs(members: np.ndarray, x: np.ndarray, neighbours: int) -> list[tupl
 
 
 def _best(lists: DataFrame, neighbours: int) -> DataFrame:
-    """One list per node with its nearest distinct neighbours, nearest first.
+    """``GRAPH``: one list per node with its nearest distinct neighbours, nearest first.
 
-    A node gets a list per order or per node that joined it, so the lists that meet are few.
+    A node gets a list per order or per node that joined it, so the lists that meet are few. What no list
+    from before (``found`` is false) holds is new.
     """
-    met = lists.groupBy("u").agg(F.collect_list(F.struct("v", "s")).alias("lists"))
+    met = lists.groupBy("u").agg(F.collect_list(F.struct("v", "s", "found")).alias("lists"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, fresh = [], []
             for u, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 v = np.frombuffer(b"".join(one["v"] for one in found), "<i8")
                 s = np.frombuffer(b"".join(one["s"] for one in found), "<f4")
-                rows.append((u, *_top(v, s, neighbours)))
-            yield _lists(rows)
+                best = _top(v, s, neighbours)
+                known = b"".join(one["v"] for one in found if not one["found"])
+                rows.append((u, *best))
+                fresh.append(~np.isin(best[0], np.frombuffer(known, "<i8")))
+            columns = [
+                *_lists(rows).columns,
+                pa.array([one.tobytes() for one in fresh], pa.binary()),
+                pa.array([int(one.sum()) for one in fresh], pa.int64()),
+                pa.array([len(one) for one in fresh], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [*NAMES, "new", "n_new", "n"])
 
-    return met.mapInArrow(merge, LISTS)
+    return met.mapInArrow(merge, GRAPH)
 
 
 def _top(v: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,52 +233,55 @@ def _top(v: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return v[keep], s[keep]
 
 
-def _changes(before: DataFrame, after: DataFrame) -> tuple[int, int]:
+def _changes(graph: DataFrame) -> tuple[int, int]:
     """How many neighbours are new, and how many there are."""
+    return tuple(n or 0 for n in graph.agg(F.sum("n_new"), F.sum("n")).first())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new = there = 0
-            for old, now in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                old, now = np.frombuffer(old, "<i8"), np.frombuffer(now, "<i8")
-                new += int((~np.isin(now, old)).sum())
-                there += len(now)
-            yield pa.RecordBatch.from_arrays([pa.array([new]), pa.array([there])], ["new", "there"])
 
-    both = before.select("u", F.col("v").alias("old")).join(after.select("u", "v"), "u")
-    counted = both.select("old", "v").mapInArrow(count, "new long, there long")
-    return tuple(n or 0 for n in counted.agg(F.sum("new"), F.sum("there")).first())
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows here hold the vectors of all neighbours; plans made inside pass few of them at a time."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(before), ROWS_AT_ONCE) if int(before) > 0 else ROWS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
 
 
 def _both_ways(graph: DataFrame, neighbours: int, turn: int = 0) -> DataFrame:
-    """``center, member``: a node's neighbours, and nodes that have it as theirs.
+    """``center, member, new``: a node's neighbours, and nodes that have it as theirs.
 
-    Of the latter as many as it may have itself, chosen by a hash: a node may be near to very many. Each ``turn`` chooses others.
+    Of the latter as many as it may have itself, new ones first and then by a hash: a node may be near to very
+    many. Each ``turn`` chooses others.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = batch.column("u").to_numpy(), [np.frombuffer(b, "<i8") for b in batch.column("v").to_pylist()]
             sizes = [len(one) for one in v]
-            pairs = [pa.array(np.repeat(u, sizes)), pa.array(np.concatenate([np.empty(0, "i8"), *v]))]
-            yield pa.RecordBatch.from_arrays(pairs, ["center", "member"])
+            new = np.frombuffer(b"".join(batch.column("new").to_pylist()), "?")
+            pairs = [np.repeat(u, sizes), np.concatenate([np.empty(0, "i8"), *v]), new]
+            yield pa.RecordBatch.from_arrays([pa.array(one) for one in pairs], ["center", "member", "new"])
 
-    pairs = graph.select("u", "v").mapInArrow(split, "center long, member long")
-    near = Window.partitionBy("center").orderBy(F.xxhash64("center", "member", F.lit(turn)))
+    pairs = graph.select("u", "v", "new").mapInArrow(split, "center long, member long, new boolean")
+    near = Window.partitionBy("center").orderBy(F.desc("new"), F.xxhash64("center", "member", F.lit(turn)))
     back = (
-        pairs.select(F.col("member").alias("center"), F.col("center").alias("member"))
+        pairs.select(F.col("member").alias("center"), F.col("center").alias("member"), "new")
         .withColumn("place", F.row_number().over(near))
         .where(F.col("place") <= neighbours)
         .drop("place")
     )
-    return pairs.unionByName(back).distinct()
+    return pairs.unionByName(back).groupBy("center", "member").agg(F.bool_or("new").alias("new"))
 
 
-def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int, turn: int) -> DataFrame:
+def _local_joins(
+    scratch: Scratch, nodes: DataFrame, graph: DataFrame, neighbours: int, turn: int
+) -> DataFrame:
     """Compare the neighbours of every node with one another: neighbours of neighbours.
 
-    Nodes that have it as their neighbour take part too. Only what would enter a member's list is
-    passed on.
+    Nodes that have it as their neighbour take part too. Of two members one is new, or they have
+    met before; where none is new nothing is fetched. Only what would enter a member's list is passed on.
     """
 
     def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,30 +294,37 @@ def _local_joins(nodes: DataFrame, graph: DataFrame, neighbours: int, turn: int)
 
     known = graph.select("u", "s").mapInArrow(lowest, "node long, low float")
     told = nodes.select("node", "unit").join(known, "node").withColumnRenamed("node", "member")
-    groups = (
+    members = (
         _both_ways(graph, neighbours, turn)
+        .groupBy("center")
+        .agg(F.collect_list(F.struct("member", "new")).alias("all"), F.bool_or("new").alias("any"))
+        .where("any")
+        .selectExpr("center", "inline(all)")
+    )
+    groups = (
+        scratch.write(members, f"pairs-{turn}")
         .join(told, "member")
         .groupBy("center")
-        .agg(F.collect_list(F.struct("member", "unit", "low")).alias("members"))
+        .agg(F.collect_list(F.struct("member", "unit", "low", "new")).alias("members"))
     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                groups_of = batch.column("members").slice(start, 256)
-                ends = np.cumsum(groups_of.value_lengths().to_numpy())
-                member, unit, low = groups_of.flatten().flatten()
-                member, low, unit = member.to_numpy(), low.to_numpy(), _table(unit)
-                rows = []
-                for a, b in zip([0, *ends[:-1]], ends, strict=True):
-                    ids, x = member[a:b], unit[a:b]
-                    near = (x @ x.T - 1).astype("f4")
-                    np.fill_diagonal(near, -9.0)
-                    better = near > low[a:b, None]
-                    for i in np.flatnonzero(better.any(axis=1)):
-                        others = np.flatnonzero(better[i])
-                        rows.append((int(ids[i]), ids[others], near[i, others]))
-                yield _lists(rows)
+            column = batch.column("members")
+            ends = np.cumsum(column.value_lengths().to_numpy())
+            member, unit, low, new = column.flatten().flatten()
+            member, low, unit = member.to_numpy(), low.to_numpy(), _table(unit)
+            new = new.to_numpy(zero_copy_only=False)
+            rows = []
+            for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                ids, x, fresh = member[a:b], unit[a:b], new[a:b]
+                near = (x @ x.T - 1).astype("f4")
+                np.fill_diagonal(near, -9.0)
+                better = (near > low[a:b, None]) & (fresh[:, None] | fresh)
+                for i in np.flatnonzero(better.any(axis=1)):
+                    others = np.flatnonzero(better[i])
+                    rows.append((int(ids[i]), ids[others], near[i, others]))
+            yield _lists(rows)
 
     return groups.select("members").mapInArrow(join, LISTS)
 
@@ -330,6 +362,16 @@ def search(
     the original vectors in double precision; ties go to the smaller id, and fewer rows than ``k``
     come back only if there are no more. Queries with an unusable vector have no answer.
     """
+    with _small_batches(queries.sparkSession):
+        owned, state = _searched(index, queries, width, step)
+        answers = _answers(index, owned, state, k)
+        return index.scratch.write(answers, f"answers-{uuid4().hex[:8]}")
+
+
+def _searched(
+    index: NeighbourGraph, queries: DataFrame, width: int, step: int
+) -> tuple[DataFrame, DataFrame]:
+    """The queries with their nodes, and the best nodes found for each."""
     scratch, nodes, links = index.scratch, index.nodes, index.links
     asked = queries.where(F.col("query_id").isNotNull() & usable("x")).select(
         F.col("query_id").cast("long").alias("query_id"), "x"
@@ -438,7 +480,7 @@ def search(
         done += 1
     placed.unpersist()
 
-    return _answers(index, owned, state, k)
+    return owned, state
 
 
 def _query(unit: bytes) -> np.ndarray:
@@ -448,6 +490,16 @@ def _query(unit: bytes) -> np.ndarray:
     return x / n if abs(n - 1) < 1e-6 else x
 
 
+def cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """In double precision, also where squares would be beyond it; the shorter one goes on with zeros."""
+    n = min(len(a), len(b))
+    square = (a @ a, b @ b)
+    if not all(1e-290 < one < 1e290 for one in square):
+        a, b = a / np.abs(a).max(), b / np.abs(b).max()
+        square = (a @ a, b @ b)
+    return float(a[:n] @ b[:n] / (np.sqrt(square[0]) * np.sqrt(square[1])))
+
+
 def _starts(
     nodes: DataFrame, links: DataFrame, width: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -487,11 +539,8 @@ def _answers(index: NeighbourGraph, owned: DataFrame, state: DataFrame, k: int)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = []
-            for a, b in zip(batch.column("qx").to_pylist(), batch.column("x").to_pylist(), strict=True):
-                n = min(len(a), len(b))
-                a, b = np.array(a, "f8"), np.array(b, "f8")
-                scores.append(float(a[:n] @ b[:n] / (np.sqrt(a @ a) * np.sqrt(b @ b))))
+            both = zip(batch.column("qx").to_pylist(), batch.column("x").to_pylist(), strict=True)
+            scores = [cosine(np.array(a, "f8"), np.array(b, "f8")) for a, b in both]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("q"), batch.column("point"), pa.array(scores, pa.float64())],
                 ["q", "point", "score"],

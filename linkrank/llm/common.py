@@ -43,3 +43,34 @@ def free_name(taken: list[str], wanted: str) -> str:
     while wanted.lower() in lower:
         wanted += "_"
     return wanted
+
+
+BLOCK = 256  # values of an array that are added up at a time
+
+
+def running(values: str, kind: str, plus: str = "{a} + {v}", zero: str = "0") -> str:
+    """SQL for the running totals of an array expression, in time linear in its length.
+
+    Appending to an array copies it, so totals are made per block of values, and for the blocks.
+    ``kind`` is the type of the values, ``plus`` combines a total ``{a}`` with a value ``{v}``.
+    """
+
+    def totals(array: str, start: str) -> str:
+        new = plus.format(a="s.at", v="v")
+        return (
+            f"aggregate({array}, named_struct('at', {start}, 'all', CAST(array() AS array<{kind}>)),"
+            f" (s, v) -> named_struct('at', {new}, 'all', array_append(s.all, {new})), s -> s.all)"
+        )
+
+    zero = f"CAST({zero} AS {kind})"
+    blocks = (
+        f"transform(IF(size(xs) = 0, CAST(array() AS array<int>), sequence(0, (size(xs) - 1) DIV {BLOCK})),"
+        f" k -> slice(xs, k * {BLOCK} + 1, {BLOCK}))"
+    )
+    whole = f"aggregate(b, {zero}, (a, v) -> {plus.format(a='a', v='v')})"
+    inner = totals("get(bs, k)", f"IF(k = 0, {zero}, get(ends, k - 1))")
+    return (
+        f"get(transform(array({values}), xs -> get(transform(array({blocks}), bs ->"
+        f" get(transform(array({totals(f'transform(bs, b -> {whole})', zero)}), ends ->"
+        f" flatten(transform(bs, (b, k) -> {inner}))), 0)), 0)), 0)"
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.plans import Scratch
+from linkrank.plans import Scratch, heaviest, salted_join
 
 
 def star_labels(scratch: Scratch, links: DataFrame) -> DataFrame:
@@ -13,8 +13,8 @@ def star_labels(scratch: Scratch, links: DataFrame) -> DataFrame:
 
     A large star hangs a vertex's larger neighbours on its smallest one, a small star the
     smaller ones; after a few alternations every component is one star. A round only groups
-    with a minimum, which combines before the shuffle, and joins that minimum back, so no
-    vertex's neighbours meet in one place. Rounds end when no link changed.
+    with a minimum, which combines before the shuffle, and joins that minimum back, split where a
+    vertex has very many neighbours, so these never meet in one place. Rounds end when no link changed.
     """
     edges = scratch.write(
         links.where("u <> v").selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct(),
@@ -23,9 +23,9 @@ def star_labels(scratch: Scratch, links: DataFrame) -> DataFrame:
     state, done = _state(edges), 0
     while state[0]:
         both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
-        large = _with_smallest(both).where("v > u").selectExpr("v AS u", "smallest AS v")
+        large = _with_smallest(both, 2 * state[0]).where("v > u").selectExpr("v AS u", "smallest AS v")
         large = scratch.write(large.distinct(), f"large-{done}")
-        near = _with_smallest(large)
+        near = _with_smallest(large, 2 * state[0])
         small = near.where("v <> smallest").selectExpr("v AS u", "smallest AS v")
         small = small.unionByName(near.selectExpr("u", "smallest AS v"))
         edges = scratch.write(small.distinct(), f"star-{done + 1}")
@@ -39,9 +39,12 @@ def star_labels(scratch: Scratch, links: DataFrame) -> DataFrame:
     )
 
 
-def _with_smallest(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("smallest"))
-    return edges.join(least, "u")
+def _with_smallest(edges: DataFrame, at_most: int) -> DataFrame:
+    least = edges.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("smallest"), F.count(F.lit(1)).alias("n")
+    )
+    hot = heaviest(least, "u", "n", at_most=at_most)
+    return salted_join(edges, least.drop("n"), "u", hot)
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -198,9 +198,12 @@ def train(
         *(F.lit(x) for name in languages for x in (name, min(1.0, quota / per_language[name])))
     )
     chance = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = rows.where(chance < share[F.col("lang")]).limit(2 * quota * len(languages))
+    drawn = rows.where(chance < share[F.col("lang")])
     place = {name: k for k, name in enumerate(languages)}
-    grams = _gram_columns(drawn, ["id", "lang"], "text").orderBy(F.xxhash64("id", "counts"), "id")
+    # in an order that does not depend on the partitions, and so is what a bound leaves
+    grams = _gram_columns(drawn, ["id", "lang"], "text").orderBy(
+        F.xxhash64("id", "counts"), "id", "lang"
+    ).limit(2 * quota * len(languages))
     examples = []
     for row in grams.collect():
         found, counts = np.frombuffer(row.found, "<u2").astype("i8"), np.frombuffer(row.counts, "<u4")

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import free_name
+from linkrank.llm.common import free_name, running
 from linkrank.plans import Scratch, heaviest, salted_join
 
-FEW_SOURCES = 10_000  # source rows that may be broadcast; more are joined by salted keys
+FEW_CHANCES = 1_000_000  # doubles of all distributions that may be broadcast; with more, joins are by salted keys
 POWER = 0.5  # default target: sources count with the root of their size
 SEED = 17
 DIGITS = 13  # hexadecimal digits of the hash that make the number, 52 bits
@@ -52,21 +52,11 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str, float] | N
 def with_distribution(sources: DataFrame) -> DataFrame:
     """Adds ``chances``, the cumulative Poisson distribution up to where it is 1 in doubles.
 
-    Terms are kept as logarithms, so that a large rate doesn't underflow.
+    Terms are kept as logarithms, so that a large rate doesn't underflow. Time is linear in the rate.
     """
-    term = "IF(k = 0, -rate, a.term + ln(rate) - ln(CAST(k AS DOUBLE)))"
-    return sources.withColumn(
-        "chances",
-        F.expr(
-            f"""aggregate(
-                sequence(0, CAST(rate + 12 * sqrt(rate) + 40 AS INT)),
-                named_struct('term', 0.0D, 'sum', 0.0D, 'all', CAST(array() AS ARRAY<DOUBLE>)),
-                (a, k) -> named_struct(
-                    'term', {term}, 'sum', a.sum + exp({term}),
-                    'all', array_append(a.all, a.sum + exp({term}))),
-                a -> a.all)"""
-        ),
-    )
+    steps = "transform(sequence(0, CAST(rate + 12 * sqrt(rate) + 40 AS INT)), k -> IF(k = 0, -rate, ln(rate) - ln(CAST(k AS DOUBLE))))"
+    terms = f"transform({running(steps, 'double')}, t -> exp(t))"
+    return sources.withColumn("chances", F.expr(running(terms, "double")))
 
 
 def replicated(
@@ -83,7 +73,8 @@ def replicated(
 
     Rows come out in a global random order: dealt out and then sorted by a hash. The draw depends
     on the id and the seed: rows that share an id are repeated equally often, null ids like an
-    empty one. An empty table gives no rows; a column of the name ``copy`` is replaced.
+    empty one. Texts, null, empty or long, are only carried along. An empty table gives no rows; a column of
+    the name ``copy`` is replaced, any other name may be in use.
     """
     scratch = Scratch(docs.sparkSession)
     columns = [name for name in docs.columns if name != copy]
@@ -99,8 +90,8 @@ def replicated(
                    F.coalesce(F.col(source).cast("string"), F.lit("")).alias("name"))
     table = table.select(named.alias(key), "n", F.col("chances").alias(draw))
     rows = docs.select(*columns, own.alias(key))
-    n_sources = table.count()
-    if n_sources <= FEW_SOURCES:
+    size = table.agg(F.sum(F.size(draw) + 8)).first()[0] or 0
+    if size <= FEW_CHANCES:
         joined = rows.join(F.broadcast(table.drop("n")), key)
     else:
         joined = salted_join(rows, table.drop("n"), key, heaviest(table, key, "n"))

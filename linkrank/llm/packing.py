@@ -26,7 +26,7 @@ from linkrank.plans import Scratch
 
 CAPACITY = 1024
 END_OF_TEXT = 2
-LEAST_PARTS = (16, 12, 8, 6, 4, 3, 2)  # parts of the capacity that a replacement has at least
+LEAST_PARTS = (16, 12, 8, 6, 4)  # replacements of at least these parts of the capacity, besides any
 # Fixed value: the pattern by which byte-level pre-tokenizers part a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters whose class no edition of Unicode has changed: blanks, Latin, Greek, Cyrillic, common
@@ -213,12 +213,13 @@ def _best_pair(
 
 
 def fewest_bins(counts: list[int], capacity: int) -> list[tuple[int, list[int]]]:
-    """The best-two-fit plan with the fewest bins over several smallest lengths for replacements.
+    """The best-two-fit plan with the fewest bins: with any replacement, or with larger pieces only.
 
     Small pieces are worth more later, as fillers, than in early replacements; how small depends on
     the lengths at hand.
     """
-    plans = (best_two_fit(counts, capacity, max(1, capacity // part)) for part in LEAST_PARTS)
+    least = [1, *(max(1, capacity // part) for part in LEAST_PARTS)]
+    plans = (best_two_fit(counts, capacity, n) for n in least)
     return min(plans, key=lambda plan: sum(bins for bins, _ in plan))
 
 

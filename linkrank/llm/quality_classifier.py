@@ -94,20 +94,23 @@ def labelled(labels: DataFrame, id: str = "doc_id", label: str = "quality") -> D
 
 
 def fit(
-    rows: DataFrame,
+    docs: DataFrame,
     labels: DataFrame,
     id: str = "doc_id",
+    text: str = "text",
     label: str = "quality",
     shrinkage: float = SHRINKAGE,
 ) -> Discriminant:
-    """Learn from all labelled rows of ``rows`` (``id, features``) that aren't held out.
+    """Learn from all labelled rows of ``docs`` that aren't held out; only these texts are counted.
 
-    The class sums are one aggregate over the joined rows; only they reach the driver.
+    The class sums are one aggregate over them; nothing else reaches the driver.
     """
     p = len(FEATURES)
-    known = rows.where(~held_out(id)).join(
-        labelled(labels, id, label), F.col(id) == F.col("label_id")
+    known = docs.select(F.col(id).alias("label_id"), F.col(text).alias("text")).where(
+        ~held_out("label_id")
     )
+    known = known.join(labelled(labels, id, label), "label_id").select("y", "text")
+    known = with_features(known, "text")
     x = [F.col("features")[i] for i in range(p)]
     sums = [F.sum(x[i]) for i in range(p)]
     products = [F.sum(x[i] * x[j]) for i in range(p) for j in range(i, p)]
@@ -152,8 +155,13 @@ def scored(docs: DataFrame, model: Discriminant, text: str = "text", keep_text:
 def scored_documents(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The other columns of ``docs`` with ``score``. Texts are read twice, to learn and to score."""
-    model = fit(with_features(docs.select(id, text), text), labels, id)
+    """The other columns of ``docs`` with ``score``. Texts are read twice, to learn and to score.
+
+    Null and empty texts have the counts of a text without words, and are learned from and scored as
+    such; texts are read whole. Repeated rows are scored alike, and each counts when learning; rows without an
+    id are scored but not learned from. An empty table has no rows. A column ``score`` is replaced.
+    """
+    model = fit(docs, labels, id, text)
     return scored(docs, model, text)
 
 
@@ -167,7 +175,7 @@ def good_documents(
     labels of both kinds there is nothing to tell them apart by: with good ones only, or none, all
     rows stay.
     """
-    model = fit(with_features(docs.select(id, text), text), labels, id)
+    model = fit(docs, labels, id, text)
     if not model.means and model.offsets[0] >= 0.5:
         return docs
     others = [F.col(name) for name in docs.columns if name != text]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import free_name
+from linkrank.llm.common import free_name, running
 from linkrank.plans import Scratch
 
 # The known shapes, in the order in which they are listed.
@@ -42,18 +42,14 @@ def _spans(text: str, pattern: str, kind: int, group: int = 0) -> Column:
     """
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
     found = f"regexp_extract_all({text}, '{quoted}', 0)"
-    values = found if not group else f"regexp_extract_all({text}, '{quoted}', {group})"
-    # arrays_zip calls its fields 0, 1, 2: the match, what is before it, the reported group
-    spans = f"""aggregate(
-        arrays_zip({found}, slice(split({text}, '{quoted}', -1), 1, size({found})), {values}),
-        named_struct('at', 0, 'all', CAST(array() AS
-            array<struct<start:int,kind:int,end:int,value:string>>)),
-        (a, x) -> named_struct(
-            'at', a.at + char_length(x.`1`) + char_length(x.`0`),
-            'all', array_append(a.all, named_struct(
-                'start', a.at + char_length(x.`1`), 'kind', {kind},
-                'end', a.at + char_length(x.`1`) + char_length(x.`0`), 'value', x.`2`))),
-        a -> a.all)"""
+    values = "f" if not group else f"regexp_extract_all({text}, '{quoted}', {group})"
+    # a match ends after all parts and matches up to it
+    sizes = "transform(f, (m, k) -> char_length(get(parts, k)) + char_length(m))"
+    spans = f"""get(transform(array({found}), f -> get(transform(array({values}), w ->
+        get(transform(array(split({text}, '{quoted}', -1)), parts ->
+        get(transform(array({running(sizes, "int")}), ends -> transform(f, (m, k) -> named_struct(
+            'start', get(ends, k) - char_length(m), 'kind', {kind}, 'end', get(ends, k),
+            'value', get(w, k)))), 0)), 0)), 0)), 0)"""
     nothing = "CAST(array() AS array<struct<start:int,kind:int,end:int,value:string>>)"
     return F.expr(f"CASE WHEN {text} RLIKE '{quoted}' THEN {spans} ELSE {nothing} END")
 
@@ -87,13 +83,13 @@ def _battery(runs: str) -> Column:
     # hexadecimal digits count in either case; '+/' and '-_' may be mixed: unknown characters are 0
     coded = (
         "named_struct('start', r.start, 'end', r.end, 'kind', r.kind, 'a', char_length(r.alphabet),"
-        " 'x', transform(sequence(1, char_length(r.value)), i -> greatest(0, locate(substr("
-        " IF(char_length(r.alphabet) = 16, lower(r.value), r.value), i, 1), r.alphabet) - 1)))"
+        " 'x', transform(regexp_extract_all(IF(char_length(r.alphabet) = 16, lower(r.value), r.value),"
+        " '.', 0), c -> greatest(0, locate(c, r.alphabet) - 1)))"
     )
     counted = (
         "named_struct('start', r.start, 'end', r.end, 'kind', r.kind, 'n', size(r.x),"
         f" 'square', aggregate(transform(sequence(0, {BINS - 1}), b -> size(filter(r.x, v ->"
-        f" v * {BINS} DIV r.a = b))), 0.0D, (s, c) -> s + c * c),"
+        f" v * {BINS} DIV r.a = b))), 0.0D, (s, c) -> s + 1.0D * c * c),"
         " 'above', size(filter(r.x, v -> 2 * v >= r.a)),"
         " 'runs', 1 + size(filter(sequence(1, size(r.x) - 1), i ->"
         " (2 * get(r.x, i) >= r.a) <> (2 * get(r.x, i - 1) >= r.a))),"
@@ -196,26 +192,57 @@ def with_secrets(rows: DataFrame, rejected: dict[int, int]) -> DataFrame:
     random = F.filter("tested", lambda r: F.lit(False))
     if rejected:
         random = F.filter("tested", lambda r: _step(r["p"]) > limits[_length_class(r["n"])])
-    new = F.filter(
-        F.transform(random, lambda r: F.struct(r["start"], r["kind"], r["end"])),
-        lambda r: ~F.exists(
-            "known", lambda k: (k["start"] <= r["start"]) & (k["end"] >= r["end"])
-        ),
-    )
-    spans = F.array_sort(F.concat("known", new))
+    new = F.transform(random, lambda r: F.struct(r["start"], r["kind"], r["end"]))
     kept = [name for name in rows.columns if name not in ("known", "tested", "secrets")]
-    return rows.select(*kept, spans.alias("secrets"))
+    both, spans = free_name(kept, "secret_all"), free_name(kept, "secrets")
+    # known shapes come before runs that start with them; what starts no later and ends no earlier covers a run
+    reach = running(
+        f"transform(`{both}`, s -> IF(s.kind < {len(KINDS) - 1}, s.end, 0))", "int", "greatest({a}, {v})"
+    )
+    uncovered = (
+        f"get(transform(array({reach}), ends -> filter(`{both}`, (s, k) ->"
+        f" s.kind < {len(KINDS) - 1} OR get(ends, k) < s.end)), 0)"
+    )
+    sorted_rows = rows.select(*kept, F.array_sort(F.concat("known", new)).alias(both))
+    return sorted_rows.select(
+        *kept, F.expr(f"IF(exists(`{both}`, s -> s.kind = {len(KINDS) - 1}), {uncovered}, `{both}`)").alias(spans)
+    )
 
 
 def secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """The other columns of ``docs`` with ``secrets``; every text is scanned once.
 
-    Null and empty texts have none. Repeated rows get equal results.
+    Null and empty texts have none. Repeated rows get equal results, an empty table has no rows. Texts of
+    any length and number of matches take time in proportion. Columns ``known``, ``tested`` and ``secrets`` of
+    ``docs`` are replaced; any other name may be in use.
     """
     rows = Scratch(docs.sparkSession).write(scanned(docs, text), "scanned")
     return with_secrets(rows, levels(rows))
 
 
+def _masked(text: str, spans: str) -> str:
+    """SQL for the text with MASK in place of each span, overlapping ones together.
+
+    The text is taken apart into blocks, so that a place far into it is found without counting from its start.
+    """
+    block = 1024
+    # [from, to) of what lies between spans, where it begins after all spans before
+    reach = running(f"transform({spans}, s -> s.end)", "int", "greatest({a}, {v})")
+    gaps = f"""get(transform(array({reach}), ends -> filter(concat(
+        transform({spans}, (s, k) -> named_struct('a', IF(k = 0, 0, get(ends, k - 1)), 'b', s.start)),
+        array(named_struct('a', get(ends, size(ends) - 1), 'b', CAST(NULL AS INT)))),
+        (g, k) -> k = 0 OR g.b IS NULL OR g.b >= g.a)), 0)"""
+    head = f"substr(get(blocks, g.a DIV {block}), g.a % {block} + 1"
+    piece = f"""CASE WHEN g.a DIV {block} >= size(blocks) THEN ''
+        WHEN g.b IS NULL THEN concat({head}), array_join(slice(blocks, g.a DIV {block} + 2, size(blocks)), ''))
+        WHEN g.a DIV {block} = g.b DIV {block} THEN {head}, g.b - g.a)
+        ELSE concat({head}), array_join(slice(blocks, g.a DIV {block} + 2,
+            g.b DIV {block} - g.a DIV {block} - 1), ''),
+            coalesce(substr(get(blocks, g.b DIV {block}), 1, g.b % {block}), '')) END"""
+    return f"""get(transform(array(regexp_extract_all({text}, '(?s).{{1,{block}}}', 0)), blocks ->
+        array_join(transform({gaps}, g -> {piece}), '{MASK}')), 0)"""
+
+
 def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with every secret in the text replaced by MASK, overlapping ones by one.
 
@@ -228,22 +255,17 @@ def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars
     row, body = "row", free_name(["row"], "body")
     rows = docs.select(F.struct(*names).alias(row), F.col(text).alias(body))
     found = with_secrets(scanned(rows, body, keep_text=True), rejected)
-    new_text = F.expr(
-        f"""aggregate(secrets, named_struct('at', 0, 'out', ''),
-            (a, s) -> named_struct('at', greatest(a.at, s.end), 'out', IF(s.start < a.at, a.out,
-                concat(a.out, substr({body}, a.at + 1, s.start - a.at), '{MASK}'))),
-            a -> concat(a.out, substr({body}, a.at + 1)))"""
-    )
-    some = F.size("secrets") > 0
+    changed_text = free_name(names, "secret_new_text")
     columns = [F.col(row)[name].alias(name) for name in names]
-    result = found.select(*columns, F.when(some, new_text).alias("secret_new_text"))
-    changed = F.col("secret_new_text").isNotNull()
+    new_text = F.when(F.size("secrets") > 0, F.expr(_masked(body, "secrets")))
+    result = found.select(*columns, new_text.alias(changed_text))
+    changed = F.col(changed_text).isNotNull()
     out = []
     for name in names:
         if name == text:
-            out.append(F.when(changed, F.col("secret_new_text")).otherwise(F.col(name)).alias(name))
+            out.append(F.when(changed, F.col(changed_text)).otherwise(F.col(name)).alias(name))
         elif name == n_chars:
-            size = F.char_length("secret_new_text").cast(docs.schema[name].dataType)
+            size = F.char_length(changed_text).cast(docs.schema[name].dataType)
             out.append(F.when(changed, size).otherwise(F.col(name)).alias(name))
         else:
             out.append(F.col(name))

@@ -10,7 +10,7 @@ that near. So a fingerprint is copied to those, and compared there with the ones
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -161,12 +161,15 @@ def named_groups(
     """
     labels = star_labels(scratch, pairs)
     linked = scratch.write(classes.join(labels, "u"), "linked")
-    names = linked.groupBy("label").agg(F.min("first").alias("component_id"))
+    names = linked.groupBy("label").agg(
+        F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members")
+    )
+    giants = heaviest(names, "label", "members")
     named = (
         classes.join(linked.select("u"), "u", "left_anti")
         .select("u", F.col("u").alias("component"), F.col("first").alias("component_id"), "n")
         .unionByName(
-            linked.join(names, "label").select(
+            salted_join(linked, names.drop("members"), "label", giants).select(
                 "u", F.col("label").alias("component"), "component_id", "n"
             )
         )
@@ -179,31 +182,28 @@ def named_groups(
 
 
 def without_near_duplicates(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    groups_of: Callable[[DataFrame, str, str], DataFrame] = simhash_groups,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS
 ) -> DataFrame:
-    """One row of every group of ``groups_of``, unchanged: that with the smallest id.
+    """One row of every group of :func:`simhash_groups`, unchanged: that with the smallest id.
 
-    Of rows that share this id, one stays. A row without an id stays only if its group has no id.
+    Of rows that share this id, the one with the smallest hash of its text stays, of equal rows any one. A row
+    without an id stays only if its group has no id. Null and empty texts are one group. An empty
+    table stays empty; columns may have any names. Equal rows are reduced to one before they meet.
     """
-    key = free_name(docs.columns, "_key")
-    hashed = free_name(docs.columns, "_hash")
-    groups = groups_of(docs, id, text)
-    no_id = F.lit(-(2**63))
-    candidates = groups.where(
-        F.col(id).eqNullSafe(F.col("component_id"))
-    ).select("component", F.struct(F.coalesce(F.col(id).cast("long"), no_id).alias("key"),
-                                   "text_hash").alias("row"))
+    key, hashed = free_name(docs.columns, "_key"), free_name(docs.columns, "_hash")
+    groups = simhash_groups(docs, id, text, shingle, bits)
+    first = F.struct(F.col(id).isNotNull().alias("known"), F.col(id).alias("id"), "text_hash")
     chosen = (
-        candidates.groupBy("component")
-        .agg(F.min("row").alias("row"))
-        .select(F.col("row.key").alias(key), F.col("row.text_hash").alias(hashed))
+        groups.where(F.col(id).eqNullSafe(F.col("component_id")))
+        .groupBy("component")
+        .agg(F.min(first).alias("row"))
+        .select(_row_key(F.col("row.id")).alias(key), F.col("row.text_hash").alias(hashed))
     )
-    keyed = docs.withColumns(
-        {key: F.coalesce(F.col(id).cast("long"), no_id), hashed: F.xxhash64(text)}
-    )
-    stays = keyed.join(chosen.distinct(), [key, hashed], "left_semi")
-    one = stays.groupBy(key, hashed).agg(F.first(F.struct(*docs.columns)).alias("row"))
-    return one.select("row.*")
+    keyed = docs.withColumns({key: _row_key(F.col(id)), hashed: F.xxhash64(text)})
+    one = keyed.groupBy(key, hashed).agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return one.join(chosen, [key, hashed], "left_semi").select("row.*")
+
+
+def _row_key(id: Column) -> Column:
+    """The id as text, whatever its type, and a text that no id has for null."""
+    return F.coalesce(F.concat(F.lit("="), id.cast("string")), F.lit(""))

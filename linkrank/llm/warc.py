@@ -25,6 +25,7 @@ from linkrank.plans import Scratch, heaviest, salted_join
 FRAME_BYTES = 1 << 18  # uncompressed, at least; a larger record is a frame of its own
 BUNDLE_BYTES = 1 << 28  # compressed; then the next bundle begins
 FRAMES_AT_ONCE = 64  # frames a reading task takes as one piece of work
+RUNS_PER_TASK = 8  # of so many frames, where there are more than cores
 LEVEL = 3
 REVISIT_FROM = 1_000  # payloads of at least so many bytes are stored once
 
@@ -239,11 +240,17 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the bundles that the index of ``folder`` names, a row each.
 
     A revisit has no payload, but its length and digest. Work is dealt out in runs of frames,
-    so one large bundle is read by many tasks.
+    so one large bundle is read by many tasks: a run is 16 MB of records or more behind a row of a few
+    bytes, so the number of tasks follows the runs and not the bytes of these rows. A record is
+    in memory as a whole, with its frame.
     """
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
     runs = index.select("bundle", F.floor(F.col("frame") / FRAMES_AT_ONCE).cast("int").alias("run"))
-    return _read(runs.distinct().repartition("bundle", "run"), folder, None)
+    runs = runs.distinct()
+    cores = spark.sparkContext.defaultParallelism
+    n = runs.count()
+    tasks = max(min(n, cores), -(-n // RUNS_PER_TASK), 1)
+    return _read(runs.repartition(tasks, "bundle", "run"), folder, None)
 
 
 def lookup(spark: SparkSession, folder: str, ids: DataFrame, id: str = "record_id") -> DataFrame:
