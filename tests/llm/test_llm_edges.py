@@ -305,9 +305,8 @@ def test_large_rates(spark):
 
 
 def test_bundles_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(warc, "FRAME_BYTES", 1)
-    monkeypatch.setattr(warc, "FRAMES_AT_ONCE", 4)
-    pages = spark.range(0, 400, 1, 2).selectExpr("id AS page_id", "'u' AS url", "repeat(id, 300) AS html")
+    monkeypatch.setattr(warc, "FRAMES_AT_ONCE", 2)
+    pages = spark.range(0, 400, 1, 2).selectExpr("id AS page_id", "'u' AS url", "repeat(id, 9000) AS html")
     folder = str(tmp_path / "warc")
     found = warc.archived(pages, folder)
     assert found.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 4
