@@ -74,9 +74,12 @@ def analysis_job(
     path_from: str | None = None,
     path_to: str | None = None,
     top_k: int = 20,
-    max_depth: int = 6,
+    max_depth: int | None = 6,
 ) -> dict[str, DataFrame]:
-    """Degree histograms to CSV; best hubs and authorities; a path and rank profile if asked."""
+    """Degree histograms to CSV; best hubs and authorities; a path and rank profile if asked.
+
+    ``path_search`` tells a search that found no path from one that gave up after ``max_depth`` hops.
+    """
     output = output.rstrip("/")
     vertices, edges = s.load_graph(spark, graph)
     s.write_csv(g.in_degree_histogram(vertices), f"{output}/in_degree")
@@ -86,7 +89,8 @@ def analysis_job(
         "hubs": g.hub_scores(vertices).limit(top_k),
     }
     if path_from and path_to:
-        results["path"] = g.shortest_path(edges, path_from, path_to, max_depth)
+        search = g.find_path(edges, path_from, path_to, max_depth)
+        results["path"], results["path_search"] = search.path, search.summary()
     if ranks_path:
         profile = g.rank_degree_profile(vertices, spark.read.parquet(ranks_path))
         results["best"] = g.top_by_metric(profile)

@@ -28,27 +28,42 @@ from linkrank.operators.graph import (
     vertex_index,
     vertices,
 )
-from linkrank.operators.pagerank import pagerank, pagerank_rounds, top_ranks
+from linkrank.operators.pagerank import (
+    pagerank,
+    pagerank_rounds,
+    residual_pagerank,
+    top_ranks,
+)
 from linkrank.operators.paths import (
+    PathSearch,
     bfs_frontier_sizes,
+    bidirectional_path,
     distances_to,
+    find_path,
     hop_histogram,
     shortest_path,
 )
 from linkrank.operators.profiles import (
     authority_scores,
+    average_ranks,
     hub_scores,
     in_degree_histogram,
     out_degree_histogram,
     power_law_alpha,
+    power_law_fit,
     rank_degree_correlation,
     rank_degree_profile,
+    rank_degree_spearman,
     top_by_metric,
 )
+from linkrank.operators.spreading import effective_hops, hits, hop_distribution
 
 __all__ = [
+    "PathSearch",
     "authority_scores",
+    "average_ranks",
     "bfs_frontier_sizes",
+    "bidirectional_path",
     "community_count",
     "community_degree",
     "community_sizes",
@@ -57,8 +72,12 @@ __all__ = [
     "connected_components",
     "dedup_edges",
     "distances_to",
+    "effective_hops",
+    "find_path",
     "giant_component_share",
     "graph_stats",
+    "hits",
+    "hop_distribution",
     "hop_histogram",
     "hub_scores",
     "in_degree_histogram",
@@ -74,8 +93,11 @@ __all__ = [
     "pagerank",
     "pagerank_rounds",
     "power_law_alpha",
+    "power_law_fit",
     "rank_degree_correlation",
     "rank_degree_profile",
+    "rank_degree_spearman",
+    "residual_pagerank",
     "shortest_path",
     "top_by_metric",
     "top_in_degree",

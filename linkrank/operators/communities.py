@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkrank.functions import part_count
 from linkrank.operators.graph import in_degrees, out_degrees, vertex_degrees
 from linkrank.plans import (
+    NumberedGraph,
     Scratch,
     adjacency,
     encode_edges,
@@ -21,13 +22,15 @@ from linkrank.plans.layout import name_labels
 HISTORY = "iteration int, changed long, n_communities long, converged boolean"
 
 
-def label_propagation(edges: DataFrame, max_iter: int = 20) -> DataFrame:
+def label_propagation(
+    edges: DataFrame | None, max_iter: int = 20, numbered: NumberedGraph | None = None
+) -> DataFrame:
     """``id, label``; see :func:`label_propagation_rounds`."""
-    return label_propagation_rounds(edges, max_iter)[0]
+    return label_propagation_rounds(edges, max_iter, numbered)[0]
 
 
 def label_propagation_rounds(
-    edges: DataFrame, max_iter: int = 20
+    edges: DataFrame | None, max_iter: int = 20, numbered: NumberedGraph | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Communities, and the labels changed and left in each round.
 
@@ -35,16 +38,20 @@ def label_propagation_rounds(
     label most frequent among the vertices they link to, the smallest one if several are;
     without out-links they keep theirs. Parallel edges each count. The loop ends when
     nothing changed, which is ``converged`` in the last row of the history, or after ``max_iter``
-    rounds (labels can swap for ever).
+    rounds (labels can swap for ever). A ``numbered`` graph is used instead of ``edges``.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark)
-    index = index_vertices(scratch, vertex_degrees(edges))
     # labels travel against the links, from a link's target to its source
-    links = encode_edges(edges, index).select(
-        F.col("v").alias("vid"), F.col("u").alias("target"), F.col("in_degree").alias("degree")
-    )
-    adjacent = adjacency(links, index.n_links)
+    if numbered is None:
+        scratch = Scratch(edges.sparkSession)
+        index = index_vertices(scratch, vertex_degrees(edges))
+        links = encode_edges(edges, index).select(
+            F.col("v").alias("vid"), F.col("u").alias("target"), F.col("in_degree").alias("degree")
+        )
+        adjacent = adjacency(links, index.n_links)
+    else:
+        index, adjacent = numbered.index, numbered.links("into")
+        scratch = Scratch(index.table.sparkSession)
+    spark = index.table.sparkSession
 
     state = index.table.select(
         "vid", part_count("in_degree").alias("parts"), F.col("vid").alias("label")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkrank.functions import part_count
 from linkrank.plans import (
+    NumberedGraph,
     Scratch,
     adjacency,
     encode_edges,
@@ -22,7 +23,9 @@ from linkrank.plans.layout import name_labels
 HISTORY = "iteration int, changed long, converged boolean"
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+def connected_components(
+    vertices: DataFrame | None, edges: DataFrame | None, numbered: NumberedGraph | None = None
+) -> DataFrame:
     """``id, component``: the smallest id each vertex is connected with, edges undirected.
 
     Works by contraction, so long chains need few rounds and the edge table shrinks from
@@ -30,10 +33,16 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     shortened to their end by pointer doubling, and the edges are rewritten between those
     ends. Ends of one component are merged until no edge is left. A hook only ever leads to
     a smaller vertex, so the last end standing is the component's smallest member.
+    A ``numbered`` graph is used instead of ``vertices`` and ``edges``.
     """
-    scratch = Scratch(vertices.sparkSession)
-    index = index_vertices(scratch, vertices)
-    pairs = scratch.write(_canonical(encode_edges(edges, index).select("u", "v")), "pairs-0")
+    if numbered is None:
+        scratch = Scratch(vertices.sparkSession)
+        index = index_vertices(scratch, vertices)
+        pairs = encode_edges(edges, index).select("u", "v")
+    else:
+        index, pairs = numbered.index, numbered.pairs()
+        scratch = Scratch(index.table.sparkSession)
+    pairs = scratch.write(_canonical(pairs), "pairs-0")
     ends = []
     while True:
         done = len(ends)

@@ -80,14 +80,8 @@ def adjacency(links: DataFrame, n_links: int) -> DataFrame:
 
     More links than ``n_links`` means that the vertex table counts other edges: an error.
     """
-    rows = (
-        links.withColumn("part", salt_of(part_count("degree"), "target"))
-        .repartition(_partitions(links, n_links), "vid", "part")
-        .groupBy("vid", "part")
-        .agg(F.max("degree").alias("degree"), F.collect_list("target").alias("targets"))
-        .sortWithinPartitions("vid", "part")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    rows = adjacency_rows(links, partitions_for(links, n_links))
+    rows = rows.sortWithinPartitions("vid", "part").persist(StorageLevel.MEMORY_AND_DISK)
     found = rows.agg(F.sum(F.size("targets"))).first()[0] or 0  # fills the cache as well
     if found > n_links:
         rows.unpersist()
@@ -95,7 +89,17 @@ def adjacency(links: DataFrame, n_links: int) -> DataFrame:
     return rows
 
 
-def _partitions(frame: DataFrame, n_links: int) -> int:
+def adjacency_rows(links: DataFrame, partitions: int) -> DataFrame:
+    """The rows of :func:`adjacency`, partitioned by (vid, part)."""
+    return (
+        links.withColumn("part", salt_of(part_count("degree"), "target"))
+        .repartition(partitions, "vid", "part")
+        .groupBy("vid", "part")
+        .agg(F.max("degree").alias("degree"), F.collect_list("target").alias("targets"))
+    )
+
+
+def partitions_for(frame: DataFrame, n_links: int) -> int:
     """A partition per core as far as the links make it worthwhile, and more if they need it."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
     worthwhile = min(cores, -(-n_links // FEW_LINKS))

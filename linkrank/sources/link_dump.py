@@ -9,6 +9,7 @@ from linkrank.plans import Scratch, heaviest, salted_join
 
 PACKED = (".gz", ".zst", ".xz", ".lz4", ".snappy", ".deflate")  # each file is read by one task
 PACKED_BYTES_PER_PARTITION = 32 * 1024 * 1024  # several times as many when unpacked
+WORTH_A_CORE = 1024 * 1024  # packed bytes for which another core is worth a shuffle
 
 # The dump's format.
 INSERT_PREFIX = "INSERT INTO `pagelinks` VALUES"
@@ -27,7 +28,8 @@ def parse_link_dump(spark: SparkSession, path: str) -> DataFrame:
     packed = [name for name in lines.inputFiles() if name.lower().endswith(PACKED)]
     if packed:
         # spread the lines before taking them apart, if there are few files for their bytes
-        wanted = -(-_bytes(spark, packed) // PACKED_BYTES_PER_PARTITION)
+        size, cores = _bytes(spark, packed), spark.sparkContext.defaultParallelism
+        wanted = max(min(cores, size // WORTH_A_CORE), -(-size // PACKED_BYTES_PER_PARTITION))
         if len(packed) < wanted:
             lines = lines.repartition(wanted, F.xxhash64("value"))
     links = lines.select(

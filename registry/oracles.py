@@ -1,4 +1,7 @@
-"""The same results in SQL over the given tables. Loops are written out round by round."""
+"""The same results in SQL over the given tables.
+
+Loops of a fixed number of rounds are written out; those that run to their end are recursive.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from registry.graphs import ROWS_SQL, edges_sql
 from registry.queries import SOURCE, TARGET
 
 ITERATIONS, DAMPING = 20, 0.85
-LABEL_ROUNDS, VOTE_ROUNDS, DEPTH, FAR = 60, 20, 6, 24
+VOTE_ROUNDS = 20
 
 
 def query(ctes: list[str], select: str, recursive: bool = False) -> str:
@@ -25,12 +28,21 @@ def base(graph: str) -> list[str]:
     ]
 
 
-def ranks(graph: str) -> list[str]:
+def ranks(graph: str, redistribute: bool = False) -> list[str]:
+    def idle(k: int) -> str:
+        """The rank that pages without links leave to all."""
+        return (
+            f"""+ CAST({DAMPING} AS DOUBLE) * (SELECT COALESCE(SUM(r.rank), 0) FROM r{k} r
+                JOIN d USING (id) WHERE out_degree = 0) / (SELECT COUNT(*) FROM v)"""
+            if redistribute
+            else ""
+        )
+
     rounds = ["r0 AS (SELECT id, CAST(1 AS DOUBLE) / (SELECT COUNT(*) FROM v) AS rank FROM v)"]
     for k in range(1, ITERATIONS + 1):
         rounds.append(
             f"""r{k} AS MATERIALIZED (
-            SELECT v.id, (1 - CAST({DAMPING} AS DOUBLE)) / (SELECT COUNT(*) FROM v)
+            SELECT v.id, (1 - CAST({DAMPING} AS DOUBLE)) / (SELECT COUNT(*) FROM v) {idle(k - 1)}
                 + CAST({DAMPING} AS DOUBLE) * COALESCE(t.got, 0) AS rank
             FROM v LEFT JOIN (
                 SELECT e.dst, SUM(r.rank / o.n) AS got
@@ -72,20 +84,55 @@ def on_components(select: str) -> str:
     return query(components("page_link"), select, recursive=True)
 
 
-def label_rounds(graph: str) -> list[str]:
+def settled_ranks(graph: str) -> list[str]:
+    """Rounds go on until ranks stand still."""
+    return base(graph) + [
+        f"""r(id, rank, before) AS (
+            SELECT id, CAST(1 AS DOUBLE) / (SELECT COUNT(*) FROM v), CAST(0 AS DOUBLE) FROM v
+            UNION ALL
+            SELECT p.id, (1 - CAST({DAMPING} AS DOUBLE)) / (SELECT COUNT(*) FROM v)
+                + CAST({DAMPING} AS DOUBLE) * COALESCE(t.got, 0), p.rank
+            FROM r p LEFT JOIN (
+                SELECT e.dst, SUM(q.rank / o.n) AS got
+                FROM e JOIN r q ON q.id = e.src JOIN o ON o.src = e.src GROUP BY e.dst
+            ) t ON t.dst = p.id
+            WHERE (SELECT SUM(ABS(rank - before)) FROM r) > 1e-14)"""
+    ]
+
+
+def label_rounds(graph: str) -> str:
+    """Labels changed per round, up to the first round without a change."""
     rounds = [
         "u AS MATERIALIZED (SELECT src AS v1, dst AS v2 FROM e UNION SELECT dst, src FROM e)",
-        "m0 AS (SELECT id, id AS label FROM v)",
+        """m(iteration, id, label, changed) AS (
+            SELECT 0, id, id, 1 FROM v
+            UNION ALL
+            SELECT iteration + 1, id, new, COUNT(*) FILTER (WHERE new <> label) OVER () FROM (
+                SELECT p.iteration, p.id, p.label, LEAST(p.label, COALESCE(t.label, p.label)) AS new
+                FROM m p LEFT JOIN (
+                    SELECT u.v1 AS id, MIN(q.label) AS label
+                    FROM u JOIN m q ON q.id = u.v2 GROUP BY u.v1
+                ) t ON t.id = p.id
+                WHERE p.changed > 0))""",
     ]
-    for k in range(1, LABEL_ROUNDS + 1):
-        rounds.append(
-            f"""m{k} AS MATERIALIZED (
-            SELECT p.id, LEAST(p.label, COALESCE(t.label, p.label)) AS label
-            FROM m{k - 1} p LEFT JOIN (
-                SELECT u.v1 AS id, MIN(q.label) AS label
-                FROM u JOIN m{k - 1} q ON q.id = u.v2 GROUP BY u.v1
-            ) t ON t.id = p.id)"""
-        )
+    return query(
+        base(graph) + rounds,
+        """SELECT DISTINCT iteration, changed, changed = 0 AS converged FROM m WHERE iteration > 0""",
+        recursive=True,
+    )
+
+
+def hubs(graph: str) -> list[str]:
+    rounds = ["h0 AS (SELECT id, CAST(1 AS DOUBLE) AS score FROM v)"]
+    for k in range(1, ITERATIONS + 1):
+        for made, sent, here, there in (("a", f"h{k - 1}", "dst", "src"), ("h", f"a{k}", "src", "dst")):
+            rounds.append(
+                f"""{made}{k} AS MATERIALIZED (
+            SELECT id, got / NULLIF(SQRT(SUM(got * got) OVER ()), 0) AS score FROM (
+                SELECT v.id, COALESCE(SUM(s.score), 0) AS got
+                FROM v LEFT JOIN e ON e.{here} = v.id LEFT JOIN {sent} s ON s.id = e.{there}
+                GROUP BY v.id))"""
+            )
     return base(graph) + rounds
 
 
@@ -127,48 +174,51 @@ def changes(prefix: str, rounds: int, ctes: list[str], extra: str = "") -> str:
     )
 
 
-def levels(source: str, depth: int, reverse: bool = False, cycle: bool = False) -> list[str]:
+def levels(source: str, reverse: bool = False, cycle: bool = False) -> list[str]:
+    """``b``: every node reached, with its depth and its least parent; in a cycle the source is one of them."""
     src, dst = ("dst", "src") if reverse else ("src", "dst")
-    seed = "NULL" if cycle else f"'{source}'"
-    parts = [f"b0 AS (SELECT '{source}' AS node)"]
-    for k in range(1, depth + 1):
-        known = " ".join(f"UNION ALL SELECT node FROM b{j}" for j in range(1, k))
-        parts.append(
-            f"""b{k} AS MATERIALIZED (
-            SELECT e.{dst} AS node, MIN(e.{src}) AS parent
-            FROM e JOIN b{k - 1} f ON f.node = e.{src}
-            WHERE NOT EXISTS (SELECT 1 FROM (SELECT {seed} AS node {known}) s
-                WHERE s.node = e.{dst})
+    seed = "" if cycle else source
+    return base("part_next") + [
+        f"""b(node, depth, parent) USING KEY (node) AS (
+            SELECT '{seed}', 0, CAST(NULL AS VARCHAR)
+            UNION
+            SELECT e.{dst}, MIN(f.depth) + 1, MIN(e.{src})
+            FROM b f JOIN e ON e.{src} = CASE f.depth WHEN 0 THEN '{source}' ELSE f.node END
+            WHERE NOT EXISTS (SELECT 1 FROM recurring.b s WHERE s.node = e.{dst})
             GROUP BY e.{dst})"""
-        )
-    return base("part_next") + parts
+    ]
 
 
-def path(source: str, target: str) -> str:
-    found = " UNION ALL ".join(
-        f"SELECT {k} AS depth, node, parent FROM b{k}" for k in range(1, DEPTH + 1)
-    )
+def path(source: str, target: str, select: str = "SELECT step, node FROM p") -> str:
     return query(
-        levels(source, DEPTH, cycle=source == target)
+        levels(source, cycle=source == target)
         + [
-            f"found AS MATERIALIZED ({found})",
             f"""p(step, node) AS (
-                SELECT MIN(depth), '{target}' FROM found WHERE node = '{target}'
-                HAVING MIN(depth) IS NOT NULL
+                SELECT depth, node FROM b WHERE node = '{target}' AND depth > 0
                 UNION ALL
-                SELECT p.step - 1, f.parent FROM p
-                JOIN found f ON f.depth = p.step AND f.node = p.node)""",
+                SELECT p.step - 1, f.parent FROM p JOIN b f ON f.node = p.node WHERE p.step > 0)""",
         ],
-        "SELECT step, node FROM p",
+        select,
         recursive=True,
     )
 
 
-def level_sizes(depth: int, name: str, ctes: list[str], first: int) -> str:
-    parts = " UNION ALL ".join(
-        f"SELECT {k} AS {name}, COUNT(*) AS n_nodes FROM b{k}" for k in range(first, depth + 1)
+def level_sizes(columns: str, ctes: list[str], first: int) -> str:
+    return query(
+        ctes,
+        f"SELECT {columns}, COUNT(*) AS n_nodes FROM b WHERE depth >= {first} GROUP BY depth",
+        recursive=True,
     )
-    return query(ctes, f"SELECT * FROM ({parts}) WHERE n_nodes > 0")
+
+
+PAIRS = base("page_link") + [
+    """w(id, node, hops) USING KEY (id, node) AS (
+        SELECT id, id, 0 FROM v
+        UNION
+        SELECT w.id, e.dst, MIN(w.hops) + 1 FROM w JOIN e ON e.src = w.node
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.w s WHERE s.id = w.id AND s.node = e.dst)
+        GROUP BY w.id, e.dst)""",
+]
 
 
 def modularity_parts() -> str:
@@ -225,7 +275,7 @@ ORACLES: dict[str, str] = {
         "SELECT src AS v1, dst AS v2 FROM e UNION SELECT dst, src FROM e",
     ),
     "connected_components": on_components("SELECT id, component FROM w"),
-    "wcc_progress": changes("m", LABEL_ROUNDS, label_rounds("page_link")),
+    "wcc_progress": label_rounds("page_link"),
     "component_sizes": on_components(
         "SELECT component, COUNT(*) AS size FROM w GROUP BY component"
     ),
@@ -286,9 +336,72 @@ ORACLES: dict[str, str] = {
             ROUND(out_degree * LN(1 + in_degree), 6) AS hub_score FROM d""",
     ),
     "shortest_path": path(SOURCE, TARGET),
+    "bidirectional_path": path(SOURCE, TARGET),
     "shortest_cycle": path(SOURCE, SOURCE),
-    "bfs_frontier_sizes": level_sizes(DEPTH, "depth", levels(SOURCE, DEPTH), 1),
-    "distance_to_target": level_sizes(FAR, "hops", levels(SOURCE, FAR, reverse=True), 0),
+    "path_search": path(
+        SOURCE,
+        TARGET,
+        "SELECT COUNT(*) > 0 AS found, MAX(step) AS hops, COUNT(*) = 0 AS exhausted FROM p",
+    ),
+    "bfs_frontier_sizes": level_sizes("depth, TRUE AS exhausted", levels(SOURCE), 1),
+    "distance_to_target": level_sizes("depth AS hops", levels(SOURCE, reverse=True), 0),
+    "hop_distribution": query(
+        PAIRS,
+        """SELECT hops, CAST(SUM(n) OVER (ORDER BY hops) AS DOUBLE) AS n_pairs, CAST(n AS DOUBLE) AS new_pairs,
+            ROUND(SUM(n) OVER (ORDER BY hops) / SUM(n) OVER (), 4) AS share
+        FROM (SELECT hops, COUNT(*) AS n FROM w GROUP BY hops)""",
+        recursive=True,
+    ),
+    "hits": query(
+        hubs("part_next"),
+        f"""SELECT id, ROUND(h.score, 9) AS hub, ROUND(a.score, 9) AS authority
+        FROM h{ITERATIONS} h JOIN a{ITERATIONS} a USING (id)""",
+    ),
+    "pagerank_redistributed": query(
+        ranks("page_link", redistribute=True), f"SELECT id, ROUND(rank, 10) AS rank FROM {LAST}"
+    ),
+    "pagerank_residual": query(
+        settled_ranks("page_link") + [
+            "z AS (SELECT * FROM r QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY ABS(rank - before)) = 1)"
+        ],
+        "SELECT id, ROUND(rank, 9) AS rank FROM z",
+        recursive=True,
+    ),
+    "numbered_graph": query(
+        ranks("part_next")
+        + components("part_next")[len(base("part_next")):]
+        + votes("part_next")[len(base("part_next")):]
+        + levels(SOURCE, reverse=True)[len(base("part_next")):],
+        f"""SELECT v.id, ROUND(r.rank, 10) AS rank, w.component, l.label, b.depth AS hops
+        FROM v JOIN {LAST} r ON r.id = v.id JOIN w ON w.id = v.id JOIN {VOTED} l ON l.id = v.id
+        LEFT JOIN b ON b.node = v.id""",
+        recursive=True,
+    ),
+    "power_law_fit": query(
+        base("part_next") + [
+            "t AS (SELECT in_degree AS x, COUNT(*) AS n FROM d WHERE in_degree > 0 GROUP BY in_degree)",
+            """tails AS (
+                SELECT a.x AS x_min, b.x, b.n, SUM(b.n) OVER w AS n_tail, COUNT(*) OVER w AS kinds,
+                    1 + SUM(b.n) OVER w / SUM(b.n * LN(b.x / (a.x - 0.5))) OVER w AS alpha,
+                    SUM(b.n) OVER (PARTITION BY a.x ORDER BY b.x) AS upto
+                FROM t a JOIN t b ON b.x >= a.x WINDOW w AS (PARTITION BY a.x))""",
+        ],
+        """SELECT x_min, CAST(n_tail AS BIGINT) AS n_tail, ROUND(alpha, 6) AS alpha,
+            ROUND(MAX(ABS(CAST(upto AS DOUBLE) / n_tail - (1 - POW((x + 0.5) / (x_min - 0.5), 1 - alpha)))), 6) AS distance
+        FROM tails WHERE kinds > 1 GROUP BY ALL ORDER BY MAX(ABS(CAST(upto AS DOUBLE) / n_tail
+            - (1 - POW((x + 0.5) / (x_min - 0.5), 1 - alpha)))), x_min LIMIT 1""",
+    ),
+    "rank_degree_spearman": query(
+        ranks("part_next") + [
+            f"q AS (SELECT d.id, in_degree, out_degree, ROUND(r.rank, 10) AS rank FROM d JOIN {LAST} r ON r.id = d.id)",
+            "places AS (SELECT " + ", ".join(
+                f"RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS p_{c}"
+                for c in ("rank", "in_degree", "out_degree")
+            ) + " FROM q)",
+        ],
+        """SELECT ROUND(CORR(p_rank, p_in_degree), 6) AS corr_in,
+            ROUND(CORR(p_rank, p_out_degree), 6) AS corr_out FROM places""",
+    ),
     "rank_degree_profile": query(
         ranks("part_next"),
         f"""SELECT d.id, in_degree, out_degree, ROUND(r.rank, 10) AS rank

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from linkrank import operators as g
 from linkrank import sources as s
-from linkrank.plans import Scratch, heaviest, salted_join
+from linkrank.plans import Scratch, heaviest, salted_join, store_numbered
 from registry.graphs import ROWS, edges, table
 
 SOURCE, TARGET = "1", "17"  # parts, for the path queries
@@ -165,6 +165,19 @@ def profile(spark, folder):
     return g.rank_degree_profile(vertices, g.pagerank(vertices, links))
 
 
+def numbered_graph(spark, folder):
+    """Four jobs on one stored graph: its ids are sorted and its links placed once."""
+    stored = store_numbered(*graph(spark, folder, "part_next"), Scratch(spark).folder)
+    hops = g.distances_to(None, SOURCE, numbered=stored)
+    return (
+        g.pagerank(None, None, numbered=stored)
+        .join(g.connected_components(None, None, numbered=stored), "id")
+        .join(g.label_propagation(None, numbered=stored), "id")
+        .join(hops, "id", "left")
+        .select("id", F.round("rank", 10).alias("rank"), "component", "label", "hops")
+    )
+
+
 Q = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Q] = {
@@ -231,6 +244,12 @@ QUERIES: dict[str, Q] = {
     "shortest_path": lambda spark, d: g.shortest_path(
         graph(spark, d, "part_next")[1], SOURCE, TARGET
     ),
+    "bidirectional_path": lambda spark, d: g.bidirectional_path(
+        graph(spark, d, "part_next")[1], SOURCE, TARGET
+    ),
+    "path_search": lambda spark, d: g.find_path(
+        graph(spark, d, "part_next")[1], SOURCE, TARGET, both_ways=True
+    ).summary().select("found", "hops", "exhausted"),
     "shortest_cycle": lambda spark, d: g.shortest_path(
         graph(spark, d, "part_next")[1], SOURCE, SOURCE
     ),
@@ -240,6 +259,26 @@ QUERIES: dict[str, Q] = {
     "distance_to_target": lambda spark, d: g.hop_histogram(
         g.distances_to(graph(spark, d, "part_next")[1], SOURCE)
     ),
+    "hop_distribution": lambda spark, d: rounded(
+        rounded(g.hop_distribution(*graph(spark, d, "page_link"), lg_k=14), 0, "n_pairs", "new_pairs"),
+        4, "share",
+    ),
+    "hits": lambda spark, d: rounded(
+        g.hits(*graph(spark, d, "part_next")), 9, "hub", "authority"
+    ),
+    "pagerank_redistributed": lambda spark, d: rounded(
+        g.pagerank(*graph(spark, d, "page_link"), redistribute=True), 10, "rank"
+    ),
+    "pagerank_residual": lambda spark, d: rounded(
+        g.residual_pagerank(*graph(spark, d, "page_link"), tol=1e-12)[0], 9, "rank"
+    ),
+    "numbered_graph": numbered_graph,
+    "power_law_fit": lambda spark, d: rounded(
+        g.power_law_fit(graph(spark, d, "part_next")[0]), 6, "alpha", "distance"
+    ),
+    "rank_degree_spearman": lambda spark, d: rounded(
+        g.rank_degree_spearman(rounded(profile(spark, d), 10, "rank")), 6, "corr_in", "corr_out"
+    ),
     "rank_degree_profile": lambda spark, d: rounded(profile(spark, d), 10, "rank"),
     "top_by_metric": lambda spark, d: rounded(g.top_by_metric(profile(spark, d)), 10, "value"),
     "rank_degree_corr": lambda spark, d: rounded(

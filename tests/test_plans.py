@@ -1,5 +1,7 @@
 """The physical plans are the intended ones."""
 
+import importlib
+
 import pytest
 
 from linkrank import operators as g
@@ -48,19 +50,75 @@ def test_a_round_moves_the_state_and_the_shares_only(spark, stored, no_broadcast
 
 
 def test_a_level_of_a_search_leaves_the_links_in_place(stored, no_broadcast, monkeypatch):
-    from linkrank.operators.paths import _level, _search
+    from linkrank.operators import paths
 
     monkeypatch.setattr("linkrank.plans.layout.FEW_LINKS", 100)
-    search = _search(stored[1], stored[1].first()["src"])
+    (search,) = paths._searches(stored[1], None, "out")
+    search.begin(paths._vertex(search.index, stored[1].first()["src"]))
     search.advance()
-    text = plan(_level(search.state, search.frontier, search.adjacent, 2))
-    outside = text[: text.index("InMemoryRelation")]
-    # the frontier by (vid, part), and the reached ones with the state by vid
-    assert outside.count("Exchange hashpartitioning") == 2
-    assert outside.count("Sort [") == 1
+
+    def outside():
+        text = plan(paths._reached(search.level(1), search.sizes[1], search.links, search.index, "out_degree"))
+        return text[: text.index("InMemoryRelation")]
+
+    # a small level is broadcast to the links
+    assert "BroadcastHashJoin" in outside() and "SortMergeJoin" not in outside()
+    monkeypatch.setattr(paths, "FEW", 0)
+    # a large one looks its parts up, and goes to the links by (vid, part)
+    assert outside().count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in outside()
     search.drop()
 
 
+def test_jobs_on_a_stored_graph_exchange_no_links(spark, stored, no_broadcast, monkeypatch):
+    from linkrank.plans import load_numbered, store_numbered
+    from linkrank.plans.scratch import Scratch as Folder
+
+    monkeypatch.setattr("linkrank.plans.layout.FEW_LINKS", 100)
+    folder = Folder(spark).folder
+    store_numbered(*stored, folder)
+    graph = load_numbered(spark, folder)
+    for direction in ("out", "into"):
+        links = graph.links(direction)
+        text = plan(links.selectExpr("vid", "part", "size(targets)"))
+        assert "Exchange" not in text and "Bucketed: true" in text
+        state = graph.index.table.select("vid", part_count("out_degree").alias("parts")).selectExpr("*", "1D AS rank")
+        text = plan(_round(state, links, 10, 0.85))
+        outside = text[: text.index("InMemoryRelation")]
+        assert outside.count("Exchange hashpartitioning") == 2 and outside.count("Sort [") == 1
+        assert links.selectExpr("sum(size(targets))").first()[0] == graph.index.n_links
+        links.unpersist()
+    with monkeypatch.context() as none:
+        for name in ("pagerank", "communities", "components", "paths"):  # ids are sorted no more
+            none.setattr(importlib.import_module(f"linkrank.operators.{name}"), "index_vertices", None)
+        source = stored[1].first()["src"]
+        made = [
+            g.pagerank(None, None, iterations=2, numbered=graph),
+            g.connected_components(None, None, numbered=graph),
+            g.label_propagation(None, max_iter=2, numbered=graph),
+            g.distances_to(None, source, numbered=graph),
+        ]
+    same = [
+        g.pagerank(*stored, iterations=2),
+        g.connected_components(*stored),
+        g.label_propagation(stored[1], max_iter=2),
+        g.distances_to(stored[1], source),
+    ]
+    for one, other in zip(made, same, strict=True):
+        a, b = ({row[0]: row[1] for row in frame.collect()} for frame in (one, other))
+        assert a == pytest.approx(b)
+
+
+def test_searching_from_both_ends_follows_few_links(spark, stored):
+    ends = [row["id"] for row in stored[0].orderBy("id").limit(40).collect()]
+    one_way = both = 0
+    for k in (0, 10):
+        single = g.find_path(stored[1], ends[k], ends[k + 5])
+        double = g.find_path(stored[1], ends[k], ends[k + 5], both_ways=True)
+        assert single.path.collect() == double.path.collect() and single.hops == double.levels
+        one_way, both = one_way + single.links_followed, both + double.links_followed
+    assert 3 * both < one_way
+
+
 def test_modularity_joins_the_edges_once(stored, no_broadcast):
     vertices, edges = stored
     labels = vertices.selectExpr("id", "id AS label")

@@ -143,8 +143,9 @@ def test_paths(spark):
     assert path("two_parts", "a", "d") == []
     assert path("two_parts", "nowhere", "d") == []
     assert path("chain", "00", "06") == [f"{k:02d}" for k in range(7)]
-    assert path("chain", "00", "07") == []
+    assert path("chain", "00", "07", max_depth=6) == []
     assert len(path("chain", "00", "07", max_depth=7)) == 8
+    assert len(path("chain", "00", "40")) == 41
 
 
 def test_distances(spark):
