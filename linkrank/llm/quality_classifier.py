@@ -109,7 +109,8 @@ def fit(
     known = docs.select(F.col(id).alias("label_id"), F.col(text).alias("text")).where(
         ~held_out("label_id")
     )
-    known = known.join(labelled(labels, id, label), "label_id").select("y", "text")
+    # labels grow with the documents, so these are dealt by id at every size and probe the labels' hashes
+    known = known.join(labelled(labels, id, label).hint("shuffle_hash"), "label_id").select("y", "text")
     known = with_features(known, "text")
     x = [F.col("features")[i] for i in range(p)]
     sums = [F.sum(x[i]) for i in range(p)]
