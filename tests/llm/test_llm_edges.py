@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names."""
 
+import hashlib
 import itertools
+import math
 import sys
 from collections import Counter
 from pathlib import Path
@@ -313,9 +315,69 @@ def test_bundles_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
     assert found.count() == 400
 
 
-def test_pipeline(spark, tables):
-    found = corpus_pipeline.run(spark, tables)
-    assert found.count() > 0 and found.where("length > 1024").count() == 0
+def test_pipeline(spark, tables, monkeypatch):
+    """Every stage against plain loops over what the stage before it kept."""
+    from tokenizers import Tokenizer
+
+    kept = {}
+    write = Scratch.write
+
+    def keep(self, frame, name):
+        made = write(self, frame, name)
+        kept[name] = made
+        return made
+
+    monkeypatch.setattr(corpus_pipeline.Scratch, "write", keep)
+    stages = [name for name, _ in corpus_pipeline.STAGES]
+    assert stages == ["quality", "near_duplicates", "secrets", "mix", "packing"]
+    final = corpus_pipeline.run(spark, tables)
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    columns = docs.columns
+    rows = {"documents": [tuple(r) for r in docs.collect()]}
+    rows |= {name: [tuple(r) for r in kept[name].collect()] for name in stages}
+    assert all(kept[name].columns == columns for name in stages[:-1])
+
+    labels = spark.read.parquet(f"{tables}/labels.parquet")
+    scores = quality_classifier.scored_documents(docs.select("doc_id", "text"), labels)
+    good = {r.doc_id for r in scores.where("score >= 0.7").collect()}
+    assert Counter(rows["quality"]) == Counter(r for r in rows["documents"] if r[0] in good)
+
+    codes = [plain.fingerprint(r[1]) for r in rows["quality"]]
+    groups = plain.fingerprint_groups(codes, [r[0] for r in rows["quality"]])
+    assert sorted(rows["near_duplicates"]) == sorted(
+        r for r, name in zip(rows["quality"], groups, strict=True) if r[0] == name
+    )
+
+    expected = []
+    found = plain.all_secrets([r[1] for r in rows["near_duplicates"]])
+    for (doc_id, text, lang, source, n), spans in zip(rows["near_duplicates"], found, strict=True):
+        out, at = "", 0
+        for start, _, end in spans:
+            out += text[at:start] + secrets.MASK if start >= at else ""
+            at = max(at, end)
+        masked = out + text[at:] if spans else text
+        expected.append((doc_id, masked, lang, source, len(masked) if spans else n))
+    assert sorted(rows["secrets"]) == sorted(expected)
+
+    sizes = Counter(r[3] for r in rows["secrets"])
+    whole = sum(size**0.5 for size in sizes.values())
+    expected = Counter()
+    for r in rows["secrets"]:
+        rate = len(rows["secrets"]) * sizes[r[3]] ** 0.5 / whole / sizes[r[3]]
+        draw = int(hashlib.md5(f"17:{r[0]}".encode()).hexdigest()[:13], 16) / 16**13
+        times, term, total = 0, math.exp(-rate), math.exp(-rate)
+        while total <= draw:
+            times += 1
+            term *= rate / times
+            total += term
+        expected[r] += times
+    assert Counter(rows["mix"]) == +expected
+
+    pieces = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in final.collect())
+    texts = [(r[0], r[1]) for r in rows["mix"]]
+    assert pieces == plain.packed(texts, Tokenizer.from_file(tokenizer_path()))
+    used = final.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.expr("offset + length")).alias("end"))
+    assert used.where("n <> end OR n > 1024").count() == 0
 
 
 def test_pipeline_stages(spark, docs, labels, tmp_path):
