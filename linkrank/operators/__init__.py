@@ -56,6 +56,7 @@ from linkrank.operators.profiles import (
     rank_degree_spearman,
     top_by_metric,
 )
+from linkrank.operators.settled import settled_label_rounds, settled_labels
 from linkrank.operators.spreading import effective_hops, hits, hop_distribution
 
 __all__ = [
@@ -98,6 +99,8 @@ __all__ = [
     "rank_degree_profile",
     "rank_degree_spearman",
     "residual_pagerank",
+    "settled_label_rounds",
+    "settled_labels",
     "shortest_path",
     "top_by_metric",
     "top_in_degree",

@@ -151,6 +151,43 @@ def votes(graph: str) -> list[str]:
     return base(graph) + rounds
 
 
+def settled(graph: str, select: str) -> str:
+    """Rounds of ``x`` go on as long as somebody wants to change; the last one only says that nobody does."""
+    rounds = [
+        """n AS MATERIALIZED (
+            SELECT src AS a, dst AS b FROM e WHERE src <> dst
+            UNION ALL SELECT dst, src FROM e WHERE src <> dst)""",
+        """x(iteration, id, label, draw, wanting, moved) AS (
+            SELECT 0, id, id, CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 2147483648,
+                CAST(1 AS BIGINT), CAST(0 AS BIGINT) FROM v
+            UNION ALL
+            SELECT iteration + 1, id, CASE WHEN moves THEN best ELSE label END,
+                (draw * 1103515245 + 12345) % 2147483648,
+                COUNT(*) FILTER (wants) OVER (), COUNT(*) FILTER (moves) OVER ()
+            FROM (
+                WITH votes AS (
+                    SELECT n.a AS id, q.label, COUNT(*) AS n
+                    FROM n JOIN x q ON q.id = n.b GROUP BY n.a, q.label
+                ), best AS (
+                    SELECT id, label, n FROM votes
+                    QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY n DESC, label) = 1
+                ), wishes AS MATERIALIZED (
+                    SELECT p.iteration, p.id, p.label, p.draw, b.label AS best,
+                        COALESCE(b.n > COALESCE(o.n, 0), FALSE) AS wants
+                    FROM x p LEFT JOIN best b ON b.id = p.id
+                    LEFT JOIN votes o ON o.id = p.id AND o.label = p.label
+                    WHERE p.wanting > 0
+                ), rivals AS (
+                    SELECT n.a AS id, MAX({'draw': w.draw, 'id': w.id}) AS rival
+                    FROM n JOIN wishes w ON w.id = n.b WHERE w.wants GROUP BY n.a
+                )
+                SELECT w.*, wants AND (
+                    rival IS NULL OR rival < {'draw': w.draw, 'id': w.id}) AS moves
+                FROM wishes w LEFT JOIN rivals r ON r.id = w.id))""",
+    ]
+    return query(base(graph) + rounds, select, recursive=True)
+
+
 VOTED = f"l{VOTE_ROUNDS}"
 
 
@@ -293,6 +330,14 @@ ORACLES: dict[str, str] = {
     "lpa_progress": changes(
         "l", VOTE_ROUNDS, votes("part_next"), ", COUNT(DISTINCT a.label) AS n_communities"
     ),
+    "settled_labels": settled(
+        "page_link", "SELECT id, label FROM x WHERE iteration = (SELECT MAX(iteration) FROM x)"
+    ),
+    "settled_label_rounds": settled(
+        "part_next",
+        """SELECT DISTINCT iteration, wanting, moved, wanting = 0 AS converged
+        FROM x WHERE iteration > 0""",
+    ),
     "community_sizes": on_votes(
         f"SELECT label, COUNT(*) AS count FROM {VOTED} GROUP BY label"
     ),

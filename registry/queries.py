@@ -222,6 +222,10 @@ QUERIES: dict[str, Q] = {
     "lpa_progress": lambda spark, d: g.label_propagation_rounds(
         graph(spark, d, "part_next")[1]
     )[1],
+    "settled_labels": lambda spark, d: g.settled_labels(*graph(spark, d, "page_link")),
+    "settled_label_rounds": lambda spark, d: g.settled_label_rounds(
+        *graph(spark, d, "part_next")
+    )[1],
     "community_sizes": lambda spark, d: g.community_sizes(communities(spark, d)),
     "community_count": lambda spark, d: g.community_count(communities(spark, d)),
     "modularity": lambda spark, d: rounded(on_communities(g.modularity)(spark, d), 8, "modularity"),
