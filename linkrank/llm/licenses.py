@@ -1,36 +1,47 @@
 """License scans with a positional index of rare words, in DataFrame functions only.
 
-Every template is indexed under the words of its key phrase that are rarest in the corpus. A file
-is looked up by those words alone: the rarest one proposes where the template would begin, the
-postings of the others must agree on that place, and the key phrase is verified word by word.
+Every template is indexed under the words of its first key phrase that are rarest in the corpus. A
+file is looked up by those words alone: the rarest one proposes where the template would begin, the
+postings of the others must agree on that place, and the key phrase is verified word by word. The
+other key phrases must stand around that place as they are; the rest of a template may be edited.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.llm.common import ascii_lower, free_name
+from linkrank.llm.license_notices import NOTICES
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 INDEX_WORDS = 3  # rare words of a key phrase that must agree
-COVERAGE = 0.5  # share of a template's words that must stand in their places
+COVERAGE = 0.5  # share of a passage's different words that must stand around its place
+NOTICE_COVERAGE = 0.75  # the same of a whole notice
+SLACK = 4  # words may be moved by a part of this many of a template's, and two more
 
 
 @dataclass(frozen=True)
 class Template:
-    """A license passage; ``key`` is the part that must be there word for word."""
+    """A license passage or notice; ``key`` and the phrases of ``more`` must be there word for word."""
 
     label: str
     text: str
     key: str
+    more: tuple[str, ...] = ()
+    coverage: float = COVERAGE
 
     @property
     def words(self) -> list[str]:
-        return self.text.split()
+        return [word for word in re.split(SEPARATORS, self.text.lower()) if word]
+
+    @property
+    def different(self) -> list[str]:
+        return sorted(set(self.words))
 
     @property
     def key_words(self) -> list[str]:
@@ -41,6 +52,11 @@ class Template:
         words, key = self.words, self.key_words
         return next(k for k in range(len(words)) if words[k : k + len(key)] == key)
 
+    @property
+    def slack(self) -> int:
+        """Words by which edits may have moved others."""
+        return len(self.words) // SLACK + 2 if self.words != self.key_words else 0
+
 
 # Phrases whose every place counts, and their labels.
 BASE = (
@@ -74,7 +90,10 @@ MORE = (
     Template("unlicense", "this is free and unencumbered software released into the public domain",
              "free and unencumbered software"),
 )
-TEMPLATES = (*BASE, *MORE)
+WHOLE = tuple(
+    Template(label, text, key, tuple(more), NOTICE_COVERAGE) for label, (key, *more), text in NOTICES
+)
+TEMPLATES = (*BASE, *MORE, *WHOLE)
 
 
 def words_of(text: Column) -> Column:
@@ -106,6 +125,9 @@ def _index(templates, idf: dict[str, float]) -> list[list[tuple[str, int]]]:
     return index
 
 
+NO_WORDS = "CAST(array() AS array<string>)"
+
+
 def _quoted(words: list[str]) -> str:
     return "array(" + ", ".join(f"'{word}'" for word in words) + ")"
 
@@ -115,9 +137,12 @@ def matches(words: str, templates, idf: dict[str, float]) -> Column:
     rows, postings = [], {}
     for t, (one, rare) in enumerate(zip(templates, _index(templates, idf), strict=True)):
         places = ", ".join(f"named_struct('word', '{w}', 'at', {k})" for w, k in rare)
+        more = _quoted([f" {phrase} " for phrase in one.more]) if one.more else NO_WORDS
         rows.append(
-            f"named_struct('words', {_quoted(one.words)}, 'key', {_quoted(one.key_words)},"
-            f" 'key_start', {one.key_start}, 'rare', array({places}))"
+            f"named_struct('key', {_quoted(one.key_words)}, 'key_start', {one.key_start},"
+            f" 'rare', array({places}), 'more', {more}, 'different', {_quoted(one.different)},"
+            f" 'before', {one.slack}, 'after', {len(one.words) + one.slack},"
+            f" 'least', {one.coverage}D)"
         )
         postings.setdefault(rare[0][0], []).append(f"named_struct('t', {t}, 'at', {rare[0][1]})")
     table = f"array({', '.join(rows)})"
@@ -138,13 +163,25 @@ def matches(words: str, templates, idf: dict[str, float]) -> Column:
         f" AND forall(c.row.rare, r -> get({words}, c.start + r.at) <=> r.word)"
         f" AND slice({words}, c.start + c.row.key_start + 1, size(c.row.key)) = c.row.key)"
     )
+    first = "greatest(c.start - c.row.before, 0)"
+    around = (
+        f"transform({agreed}, c -> named_struct('t', c.t, 'start', c.start, 'row', c.row, 'part',"
+        f" slice({words}, {first} + 1, greatest(c.start + c.row.after - {first}, 0))))"
+    )
+    complete = (
+        f"filter({around}, c -> size(c.row.more) = 0 OR forall(c.row.more,"
+        " phrase -> contains(concat(' ', array_join(c.part, ' '), ' '), phrase)))"
+    )
     covered = (
-        f"transform({agreed}, c -> named_struct('template', c.t, 'start', c.start, 'coverage',"
-        " CAST(size(filter(sequence(0, size(c.row.words) - 1), k -> c.start + k >= 0"
-        f" AND get({words}, c.start + k) <=> get(c.row.words, k))) AS DOUBLE) / size(c.row.words)))"
+        f"transform({complete}, c -> named_struct('template', c.t, 'start', c.start, 'coverage',"
+        " CAST(size(array_intersect(c.row.different, c.part)) AS DOUBLE) / size(c.row.different),"
+        " 'least', c.row.least))"
+    )
+    found = (
+        f"transform(filter({covered}, m -> m.coverage >= m.least), m ->"
+        " named_struct('template', m.template, 'start', m.start, 'coverage', m.coverage))"
     )
-    found = f"filter({covered}, m -> m.coverage >= {COVERAGE})"
-    nothing = f"CAST(array() AS array<struct<template:int,start:int,coverage:double>>)"
+    nothing = "CAST(array() AS array<struct<template:int,start:int,coverage:double>>)"
     return F.expr(f"CASE WHEN size({words}) = 0 THEN {nothing} ELSE {found} END")
 
 
@@ -152,7 +189,9 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """The other columns of ``docs`` with ``n_words`` and ``licenses``.
 
     ``licenses`` is an array of ``label, base, start, n_words, coverage``, one for every place of a
-    template in the text, words counted from 0; ``base`` marks the fixed phrases. Null and empty
+    template in the text, words counted from 0; ``base`` marks the fixed phrases and ``coverage`` is
+    the share of the template's different words around that place. A notice is found whole: words
+    outside its key phrases may be replaced, left out or added. Null and empty
     texts have no words and no licenses, repeated rows get equal results. The corpus is read
     twice: once for the words' frequencies and once for the look-up; nothing is shuffled but counts.
     """

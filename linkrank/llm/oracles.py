@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkrank.llm.licenses import BASE, COVERAGE, TEMPLATES
+from linkrank.llm.licenses import BASE, TEMPLATES
 from linkrank.llm.merkle import FAN
 from linkrank.llm.mixing import DIGITS, POWER, SEED
 from linkrank.llm.quality_rules import LATEST, POLICIES, RULES, mask_of
@@ -23,23 +23,13 @@ FROM p LEFT JOIN g ON p.digest = g.digest AND n >= 1000
 
 
 def _licenses() -> str:
-    found = []
-    for t, one in enumerate(TEMPLATES):
-        words, start, key = one.words, one.key_start, one.key_words
-
-        def at(k: int) -> str:
-            return f"lead(word, {k}) OVER w" if k >= 0 else f"lag(word, {-k}) OVER w"
-
-        same = " + ".join(
-            f"CASE WHEN {at(k - start)} = '{word}' THEN 1 ELSE 0 END"
-            for k, word in enumerate(words)
-        )
-        whole = " AND ".join(f"{at(k)} = '{word}'" for k, word in enumerate(key))
-        found.append(
-            f"SELECT r, pos - {start} AS start, '{one.label}' AS label, {t < len(BASE)} AS base,"
-            f" CAST({same} AS DOUBLE) / {len(words)} AS coverage FROM words"
-            f" WINDOW w AS (PARTITION BY r ORDER BY pos) QUALIFY {whole}"
-        )
+    templates = ", ".join(
+        f"{{'label': '{one.label}', 'base': {t < len(BASE)}, 'key': {one.key_words},"
+        f" 'lead': {one.key_start}, 'more': CAST({list(one.more)} AS VARCHAR[]),"
+        f" 'different': {one.different}, 'slack': {one.slack}, 'n': {len(one.words)},"
+        f" 'least': {one.coverage}}}"
+        for t, one in enumerate(TEMPLATES)
+    )
     return f"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array(
@@ -48,13 +38,25 @@ WITH d AS (
     FROM documents
 ), words AS (
     SELECT r, unnest(list) AS word, unnest(range(len(list))) AS pos FROM d
-), found AS ({' UNION ALL '.join(found)}),
-sums AS (
+), templates AS (
+    SELECT unnest([{templates}], max_depth := 2)
+), around AS (
+    SELECT r, pos - t.lead AS start, t.*,
+        list_slice(list, greatest(pos - t.lead - slack, 0) + 1, pos - t.lead + n + slack) AS part
+    FROM words JOIN templates t ON word = key[1] JOIN d USING (r)
+    WHERE list_slice(list, pos + 1, pos + len(key)) = key
+), found AS (
+    SELECT r, start, label, base, least,
+        CAST(len(list_distinct(list_intersect(different, part))) AS DOUBLE) / len(different)
+            AS coverage
+    FROM around WHERE len([phrase FOR phrase IN more IF NOT contains(
+        ' ' || array_to_string(part, ' ') || ' ', ' ' || phrase || ' ')]) = 0
+), sums AS (
     SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
         max(start) FILTER (base) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score
-    FROM found WHERE coverage >= {COVERAGE} GROUP BY r
+    FROM found WHERE coverage >= least GROUP BY r
 )
 SELECT doc_id, CAST(len(list) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
     last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
