@@ -1,6 +1,7 @@
 """The physical plans are the intended ones."""
 
 import importlib
+import re
 
 import pytest
 
@@ -29,6 +30,18 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def without_cached(text):
+    """The plan without what lies under its cached tables."""
+    lines, below = [], None
+    for line in text.split("\n"):
+        depth = re.match(r"[ :]*(?:[+:]- )?", line).end()
+        if below is not None and depth > below:
+            continue
+        below = depth if "InMemoryRelation" in line else None
+        lines.append(line)
+    return "\n".join(lines)
+
+
 def test_a_round_moves_the_state_and_the_shares_only(spark, stored, no_broadcast, monkeypatch):
     monkeypatch.setattr("linkrank.plans.layout.FEW_LINKS", 100)
     vertices, edges = stored
@@ -108,6 +121,30 @@ def test_jobs_on_a_stored_graph_exchange_no_links(spark, stored, no_broadcast, m
         assert a == pytest.approx(b)
 
 
+def test_settling_rounds_exchange_votes_and_draws_alone(spark, stored, no_broadcast, monkeypatch):
+    from linkrank.operators import settled
+    from linkrank.plans import store_numbered
+    from linkrank.plans.scratch import Scratch as Folder
+
+    monkeypatch.setattr("linkrank.plans.layout.FEW_LINKS", 100)
+    graph = store_numbered(*stored, Folder(spark).folder)
+    links = {direction: graph.links(direction) for direction in ("out", "into")}
+    state = graph.index.table.selectExpr(
+        "vid", "1 AS out_parts", "1 AS into_parts", "vid AS label", "vid AS draw"
+    )
+    text = without_cached(plan(settled._wishes(state, links)))
+    # the state to the links of either direction, the votes by (vertex, label) and by vertex
+    assert text.count("InMemoryRelation") == 2 and text.count("SortMergeJoin") == 2
+    assert text.count("Exchange hashpartitioning") == 4
+    wishes = Folder(spark).write(settled._wishes(state, links), "wishes")
+    text = without_cached(plan(settled._moves(wishes, links)))
+    # those that want to, to the links; the largest draws, and the state they are compared with
+    assert text.count("InMemoryRelation") == 2 and text.count("SortMergeJoin") == 3
+    assert text.count("Exchange hashpartitioning") == 4
+    for one in links.values():
+        one.unpersist()
+
+
 def test_searching_from_both_ends_follows_few_links(spark, stored):
     ends = [row["id"] for row in stored[0].orderBy("id").limit(40).collect()]
     one_way = both = 0
