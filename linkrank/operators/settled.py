@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from linkrank.functions import part_count
 from linkrank.operators.spreading import _numbered
-from linkrank.plans import NumberedGraph, spread
+from linkrank.plans import NumberedGraph, Scratch, heaviest, salted_join, spread
 from linkrank.plans.layout import name_labels
 
 HISTORY = "iteration int, wanting long, moved long, converged boolean"
+SHARE = 0.25  # votes are counted only near the last moves where these hear no larger part of the links
+FEW_LINKS = 1_000_000  # of which all are heard again for less than finding out what is near
+OWN = ("out_parts", "into_parts", "degree", "draw")  # what a vertex keeps besides its label
 STEP, SHIFT, RANGE = 1103515245, 12345, 2**31  # of the draws, a new one each round
 
 
@@ -43,7 +46,8 @@ def settled_label_rounds(
     labels cannot swap for ever: the rounds end when nobody wants to change, which is ``converged``,
     or after ``max_iter`` of them. ``wanting`` and ``moved`` count vertices. Vertices without other
     ones, null among them, keep their label. A round costs two exchanges of what the links carry:
-    labels combined by (vertex, label), and one largest draw per vertex.
+    labels combined by (vertex, label), and one largest draw per vertex. Votes change only next to a move:
+    once few links are there, only those vertices ask for labels, and all others keep their wish.
     """
     scratch, graph = _numbered(vertices, edges, numbered)
     spark = scratch.spark
@@ -53,14 +57,17 @@ def settled_label_rounds(
         "vid",
         part_count("out_degree").alias("out_parts"),
         part_count("in_degree").alias("into_parts"),
+        (F.col("out_degree") + F.col("in_degree")).alias("degree"),
         F.col("vid").alias("label"),
         (drawn % RANGE).alias("draw"),
     )
-    history, written = [], []
+    history, written, near = [], [], None
+    most = SHARE * 2 * graph.index.n_links if graph.index.n_links > FEW_LINKS else 0
     while max_iter is None or len(history) < max_iter:
         done = len(history) + 1
         seen = Observation()
-        wishes = _wishes(state, links).observe(seen, F.count_if("wants").alias("wanting"))
+        wishes = _wishes(state, links) if near is None else _renewed(state, *near, links)
+        wishes = wishes.observe(seen, F.count_if("wants").alias("wanting"))
         wishes = scratch.write(wishes, f"wishes-{done}")
         wanting = seen.get["wanting"]
         scratch.drop(*written)
@@ -70,9 +77,13 @@ def settled_label_rounds(
             state = wishes
             break
         seen = Observation()
-        moves = _moves(wishes, links).observe(seen, F.count_if("moves").alias("moved"))
-        state = scratch.write(moves, f"labels-{done}").drop("moves")
-        written.append(f"labels-{done}")
+        told = F.sum(F.when(F.col("moves"), F.col("degree"))).alias("told")
+        moves = _moves(wishes, links).observe(seen, F.count_if("moves").alias("moved"), told)
+        state = scratch.write(moves, f"labels-{done}")
+        near = None
+        if seen.get["told"] <= most:
+            near = _near_moves(scratch, state, links, f"near-{done}", most)
+        written += [f"labels-{done}", f"near-{done}"]
         history.append((done, wanting, seen.get["moved"], False))
     result = scratch.write(name_labels(state.select("vid", "label"), graph.index), "result")
     for one in links.values():
@@ -94,33 +105,67 @@ def _along(state: DataFrame, links: dict[str, DataFrame], *columns: str) -> Data
 
 
 def _wishes(state: DataFrame, links: dict[str, DataFrame]) -> DataFrame:
-    """The state with ``best``, the label heard most, and ``wants``: it is heard more than the own one.
+    """The state with ``best``, the label heard most, and ``wants``: it is heard more than the own one."""
+    return _counted(state, _along(state, links, "label"))
+
+
+def _counted(state: DataFrame, heard: DataFrame) -> DataFrame:
+    """The wishes of the vertices of ``state`` from the labels they hear, ``vid, label``.
 
     The state rides along as votes that count nothing, so there is no join after the count.
     """
-    own = ("out_parts", "into_parts", "draw")
-    heard = _along(state, links, "label", "1L AS n", *(f"NULL AS {name}" for name in own))
-    kept = state.selectExpr("vid", "label", "0L AS n", *own)
+    kept = state.selectExpr("vid", "label", "0L AS n", *OWN)
+    heard = heard.selectExpr("vid", "label", "1L AS n", *(f"NULL AS {name}" for name in OWN))
     # counting by (vertex, label) first keeps a vertex with many links off a single task
     votes = kept.unionByName(heard).groupBy("vid", "label").agg(
-        F.sum("n").alias("n"), *(F.max(name).alias(name) for name in own)
+        F.sum("n").alias("n"), *(F.max(name).alias(name) for name in OWN)
     )
     return (
         votes.groupBy("vid")
         .agg(
-            *(F.max(name).alias(name) for name in own),
+            *(F.max(name).alias(name) for name in OWN),
             F.expr("max(label) FILTER (WHERE draw IS NOT NULL)").alias("label"),
             F.expr("max(n) FILTER (WHERE draw IS NOT NULL)").alias("n_own"),
             F.max("n").alias("n_best"),
             F.expr("min_by(label, struct(-n, label))").alias("best"),
         )
-        .selectExpr("vid", *own, "label", "best", "n_best > n_own AS wants")
+        .selectExpr("vid", *OWN, "label", "best", "n_best > n_own AS wants")
     )
 
 
+def _near_moves(
+    scratch: Scratch, state: DataFrame, links: dict[str, DataFrame], name: str, most: float
+) -> tuple[DataFrame, int] | None:
+    """The state of the vertices linked with one that moved, and how many links these have.
+
+    None if that is more than ``most``.
+    """
+    seen = Observation()
+    told = _along(state.where("moves").select("vid", *OWN), links).distinct()
+    near = state.select("vid", *OWN, "label").join(told, "vid", "left_semi")
+    near = scratch.write(near.observe(seen, F.sum("degree").alias("asked")), name)
+    asked = seen.get["asked"] or 0
+    return (near, asked) if asked <= most else None
+
+
+def _renewed(
+    state: DataFrame, near: DataFrame, n_asked: int, links: dict[str, DataFrame]
+) -> DataFrame:
+    """The wishes if only the vertices of ``near`` hear anything new.
+
+    These ask their neighbours for labels, split where very many ask the same one. The others want what
+    they wanted; who moved got it, as no neighbour of theirs moved.
+    """
+    asked = _along(near, links, "sender AS asker")
+    hot = heaviest(asked.groupBy("vid").agg(F.count(F.lit(1)).alias("n")), "vid", "n", at_most=n_asked)
+    heard = salted_join(asked, state.select("vid", "label"), "vid", hot).selectExpr("asker AS vid", "label")
+    others = state.join(near.select("vid"), "vid", "left_anti")
+    return others.drop("moves").unionByName(_counted(near, heard))
+
+
 def _moves(wishes: DataFrame, links: dict[str, DataFrame]) -> DataFrame:
     """The state after those moved whose draw is larger than that of all neighbours that want to."""
-    wanting = wishes.where("wants").select("vid", "out_parts", "into_parts", "draw")
+    wanting = wishes.where("wants").select("vid", *OWN)
     rivals = _along(wanting, links, "struct(draw, sender) AS rival").groupBy("vid").agg(
         F.max("rival").alias("rival")
     )
@@ -132,8 +177,11 @@ def _moves(wishes: DataFrame, links: dict[str, DataFrame]) -> DataFrame:
             "vid",
             "out_parts",
             "into_parts",
-            "IF(moves, best, label) AS label",
+            "degree",
             f"(draw * {STEP} + {SHIFT}) % {RANGE} AS draw",
+            "IF(moves, best, label) AS label",
+            "best",
+            "wants AND NOT moves AS wants",
             "moves",
         )
     )

@@ -130,7 +130,7 @@ def test_settling_rounds_exchange_votes_and_draws_alone(spark, stored, no_broadc
     graph = store_numbered(*stored, Folder(spark).folder)
     links = {direction: graph.links(direction) for direction in ("out", "into")}
     state = graph.index.table.selectExpr(
-        "vid", "1 AS out_parts", "1 AS into_parts", "vid AS label", "vid AS draw"
+        "vid", "1 AS out_parts", "1 AS into_parts", "vid AS degree", "vid AS label", "vid AS draw"
     )
     text = without_cached(plan(settled._wishes(state, links)))
     # the state to the links of either direction, the votes by (vertex, label) and by vertex

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from linkrank import operators as g
+from linkrank.operators import settled
 from linkrank.plans import Scratch, store_numbered
 
 EDGES = "src string, dst string"
@@ -17,8 +18,12 @@ def graph(spark, edges):
     return g.vertex_degrees(links), links
 
 
-def plain(edges, max_iter=None):
-    """Labels and history by one dictionary per vertex."""
+def plain(edges, max_iter=None, near_moves=None):
+    """Labels and history by one dictionary per vertex.
+
+    ``near_moves`` gets, per round, how many links the vertices that moved have, those next to them, and how many
+    these are.
+    """
     ids = {end for edge in edges for end in edge}
     near = defaultdict(list)
     for a, b in edges:
@@ -44,6 +49,12 @@ def plain(edges, max_iter=None):
         ]
         for v in moves:
             label[v] = best[v]
+        if near_moves is not None:
+            degree = Counter(end for edge in set(edges) for end in edge)
+            beside = {u for v in moves for u in near[v]}
+            near_moves.append(
+                (sum(degree[v] for v in moves), sum(degree[u] for u in beside), len(beside))
+            )
         history.append((len(history) + 1, len(best), len(moves), False))
         draw = {v: (one * 1103515245 + 12345) % 2**31 for v, one in draw.items()}
     return label, history
@@ -98,6 +109,28 @@ def test_no_two_neighbours_move_at_once(spark):
         before = after
 
 
+@pytest.mark.parametrize("case, share", [("star", 1), ("nulls", 1), ("random", 1), ("other", 0.5)])
+def test_votes_are_counted_near_the_last_moves(spark, split_hubs, monkeypatch, case, share):
+    asked, renewed = [], settled._renewed
+
+    def seen(state, near, n_asked, links):
+        asked.append((near.count(), n_asked))
+        return renewed(state, near, n_asked, links)
+
+    monkeypatch.setattr(settled, "_renewed", seen)
+    monkeypatch.setattr(settled, "FEW_LINKS", 0)
+    monkeypatch.setattr(settled, "SHARE", share)
+    edges = sorted(set(CASES[case]), key=repr)
+    labels, history = g.settled_label_rounds(*graph(spark, edges))
+    sizes = []
+    expected, rounds = plain(edges, near_moves=sizes)
+    assert {row.id: row.label for row in labels.collect()} == expected
+    assert [tuple(row) for row in history.orderBy("iteration").collect()] == rounds
+    most = share * 2 * len(edges)
+    assert asked == [(n, links) for told, links, n in sizes if told <= most and links <= most]
+    assert asked
+
+
 def test_limits_and_stored_graph(spark):
     edges = random_edges(4)
     vertices, links = graph(spark, edges)
