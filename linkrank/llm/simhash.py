@@ -5,6 +5,9 @@ Fingerprints that differ in at most 3 bits differ in at most 1 bit in one of two
 within distance 1 of exactly one anchor (covering radius 1), its home. A half within distance 1
 of another is within radius plus threshold, 2, of that one's home; there are at most 16 anchors
 that near. So a fingerprint is copied to those, and compared there with the ones at home.
+
+Where very many are at home at one anchor, the bits outside the half are cut into four blocks. Three bits that
+differ leave one block equal, so there only those are compared that share a block as well.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from linkrank.plans import Scratch, heaviest, salted_join
 BITS = 3  # fingerprints that differ in no more bits are linked
 SHINGLE = 3
 HALF = 31
+CROWD = 4_096  # fingerprints at home at an anchor from which they meet by blocks of their other bits, too
+BLOCKS = BITS + 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
 SEED = 42
@@ -107,17 +112,57 @@ def anchored(codes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return homes, copies
 
 
-def links(codes: DataFrame, bits: int = BITS) -> DataFrame:
-    """The pairs ``u, v`` of distinct fingerprints ``u`` that differ in at most ``bits`` (3) bits."""
+def crowds(codes: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``side, anchor`` where ``crowd`` fingerprints or more are at home: at most one for that many of a side."""
+    homes, _ = anchored(codes)
+    return homes.groupBy("side", "anchor").count().where(F.col("count") >= crowd).drop("count")
+
+
+def _other_bits(side: int) -> list[int]:
+    """Masks of the blocks of the bits that do not belong to the half of this side."""
+    places = [k for k in range(64) if not HALF * side <= k < HALF * (side + 1)]
+    masks = []
+    for block in range(BLOCKS):
+        part = places[block * len(places) // BLOCKS : (block + 1) * len(places) // BLOCKS]
+        mask = sum(1 << k for k in part)
+        masks.append(mask - (1 << 64) if mask >> 63 else mask)
+    return masks
+
+
+def _in_blocks(rows: DataFrame, crowded: DataFrame, code: str) -> DataFrame:
+    """The rows with ``block, value``: one for each block at a crowded anchor, else a single one."""
+    masks = [f"array({', '.join(f'{m}L' for m in _other_bits(side))})" for side in (0, 1)]
+    blocks = (
+        f"transform(IF(side = 0, {masks[0]}, {masks[1]}),"
+        f" (m, k) -> named_struct('block', k, 'value', {code} & m))"
+    )
+    return (
+        rows.join(crowded.withColumn("crowded", F.lit(True)), ["side", "anchor"], "left")
+        .selectExpr(
+            "side",
+            "anchor",
+            code,
+            f"inline(IF(crowded IS NULL, array(named_struct('block', -1, 'value', 0L)), {blocks}))",
+        )
+    )
+
+
+def links(codes: DataFrame, bits: int = BITS, crowded: DataFrame | None = None) -> DataFrame:
+    """The pairs ``u, v`` of distinct fingerprints ``u`` that differ in at most ``bits`` (3) bits.
+
+    A pair may come more than once. At the anchors of ``crowded`` (see :func:`crowds`) fingerprints meet by
+    anchor and block, which loses no pair.
+    """
     if bits > BITS:
         raise ValueError(f"anchors cover at most {BITS} differing bits")
     homes, copies = anchored(codes)
+    keys = ["side", "anchor"]
+    if crowded is not None:
+        homes, copies = _in_blocks(homes, crowded, "u"), _in_blocks(copies, crowded, "v")
+        keys += ["block", "value"]
     near = F.expr(f"u < v AND bit_count(u ^ v) <= {bits}")
-    met = homes.join(
-        copies,
-        (homes.side == copies.side) & (homes.anchor == copies.anchor) & near,
-    )
-    return met.select("u", "v")
+    same = [homes[key] == copies[key] for key in keys]
+    return homes.join(copies, [*same, near]).select("u", "v")
 
 
 def simhash_groups(
@@ -147,7 +192,10 @@ def simhash_groups(
         ),
         "classes",
     )
-    pairs = scratch.write(links(classes.select("u"), bits), "links")
+    codes = classes.select("u")
+    crowded = scratch.write(crowds(codes), "crowds")
+    pairs = links(codes, bits, None if crowded.isEmpty() else crowded)
+    pairs = scratch.write(pairs, "links")
     return named_groups(scratch, rows, classes, pairs, id)
 
 

@@ -167,7 +167,8 @@ def test_mixing(docs, wide):
     assert mixing.replicated(docs.limit(0)).count() == 0
 
 
-def test_simhash(docs, wide):
+def test_simhash(docs, wide, monkeypatch):
+    monkeypatch.setattr(simhash.crowds, "__defaults__", (1,))  # every anchor is crowded
     found = simhash.simhash_groups(docs).collect()
     codes = [r.fingerprint % 2**64 for r in found]
     assert sorted(codes) == sorted(plain.fingerprint(t) for _, t, _ in TEXTS)
@@ -196,9 +197,44 @@ def test_every_close_pair_meets(spark):
     codes = sorted({code - 2**64 if code >> 63 else code for code in codes})
     frame = spark.createDataFrame([(c,) for c in codes], "u long")
     found = {(r.u, r.v) for r in simhash.links(frame).collect()}
-    assert found == {
+    expected = {
         (a, b) for a in codes for b in codes if a < b and ((a ^ b) % 2**64).bit_count() <= 3
     }
+    assert found == expected
+    for crowd in (1, 3):  # all anchors crowded, or some
+        crowded = simhash.crowds(frame, crowd)
+        found = {(r.u, r.v) for r in simhash.links(frame, crowded=crowded).collect()}
+        assert found == expected
+
+
+def test_a_crowded_anchor_is_met_by_blocks(spark):
+    """One half in common and all else at random: all are at home at one anchor, and hardly any are near."""
+    import random
+
+    rng = random.Random(8)
+    codes = sorted({rng.getrandbits(33) << 31 | 12345 for _ in range(1500)})
+    codes = sorted({*codes, *(code ^ 1 << 40 ^ 1 << 50 ^ 1 << 60 for code in codes[:20])})
+    codes = sorted(code - 2**64 if code >> 63 else code for code in codes)
+    frame = spark.createDataFrame([(c,) for c in codes], "u long")
+    assert simhash.crowds(frame).count() == 0
+    crowded = simhash.crowds(frame, 1000)
+    assert [row.side for row in crowded.collect()] == [0]
+    found = {(r.u, r.v) for r in simhash.links(frame, crowded=crowded).collect()}
+    assert found == {(r.u, r.v) for r in simhash.links(frame).collect()}
+    assert len(found) >= 20
+    homes, copies = simhash.anchored(frame)
+    met = [
+        a.where("side = 0").alias("a").join(b.where("side = 0").alias("b"), keys).where("u < v").count()
+        for a, b, keys in (
+            (homes, copies, ["side", "anchor"]),
+            (
+                simhash._in_blocks(homes, crowded, "u"),
+                simhash._in_blocks(copies, crowded, "v"),
+                ["side", "anchor", "block", "value"],
+            ),
+        )
+    ]
+    assert met[1] < met[0] / 20
 
 
 def test_star_labels(spark):
