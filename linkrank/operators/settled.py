@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkrank.functions import part_count
 from linkrank.operators.spreading import _numbered
 from linkrank.plans import NumberedGraph, Scratch, heaviest, salted_join, spread
-from linkrank.plans.layout import name_labels
+from linkrank.plans.layout import VertexIndex, name_labels
 
 HISTORY = "iteration int, wanting long, moved long, converged boolean"
 SHARE = 0.25  # votes are counted only near the last moves where these hear no larger part of the links
 FEW_LINKS = 1_000_000  # of which all are heard again for less than finding out what is near
+MANY_LINKS = 4_000_000  # from which votes are kept as a table that moves change, not counted anew
+VOTES_PER_PARTITION = 2_000_000  # of that table: counting them takes some 540 MB of a task
 OWN = ("out_parts", "into_parts", "degree", "draw")  # what a vertex keeps besides its label
 STEP, SHIFT, RANGE = 1103515245, 12345, 2**31  # of the draws, a new one each round
 
@@ -48,6 +52,7 @@ def settled_label_rounds(
     ones, null among them, keep their label. A round costs two exchanges of what the links carry:
     labels combined by (vertex, label), and one largest draw per vertex. Votes change only next to a move:
     once few links are there, only those vertices ask for labels, and all others keep their wish.
+    From ``MANY_LINKS`` links the votes are a table that the moves of a round change: see :class:`_Votes`.
     """
     scratch, graph = _numbered(vertices, edges, numbered)
     spark = scratch.spark
@@ -61,8 +66,29 @@ def settled_label_rounds(
         F.col("vid").alias("label"),
         (drawn % RANGE).alias("draw"),
     )
+    if graph.index.n_links >= MANY_LINKS:
+        history, labels = _rounds_on_votes(scratch, graph.index, state, links, max_iter)
+    else:
+        history, labels = _rounds_counting(scratch, graph.index, state, links, max_iter)
+    result = scratch.write(name_labels(labels, graph.index), "result")
+    for one in links.values():
+        one.unpersist()
+    scratch.drop("state")
+    if numbered is None:
+        graph.drop(scratch, "graph")
+    return result, spark.createDataFrame(history, HISTORY)
+
+
+def _rounds_counting(
+    scratch: Scratch,
+    index: VertexIndex,
+    state: DataFrame,
+    links: dict[str, DataFrame],
+    max_iter: int | None,
+) -> tuple[list[tuple], DataFrame]:
+    """The history and ``vid, label``, with votes counted anew each round, or near the last moves."""
     history, written, near = [], [], None
-    most = SHARE * 2 * graph.index.n_links if graph.index.n_links > FEW_LINKS else 0
+    most = SHARE * 2 * index.n_links if index.n_links > FEW_LINKS else 0
     while max_iter is None or len(history) < max_iter:
         done = len(history) + 1
         seen = Observation()
@@ -85,13 +111,133 @@ def settled_label_rounds(
             near = _near_moves(scratch, state, links, f"near-{done}", most)
         written += [f"labels-{done}", f"near-{done}"]
         history.append((done, wanting, seen.get["moved"], False))
-    result = scratch.write(name_labels(state.select("vid", "label"), graph.index), "result")
-    for one in links.values():
-        one.unpersist()
+    labels = scratch.write(state.select("vid", "label"), "state")
     scratch.drop(*written)
-    if numbered is None:
-        graph.drop(scratch, "graph")
-    return result, spark.createDataFrame(history, HISTORY)
+    return history, labels
+
+
+class _Votes:
+    """What every vertex hears, ``vid, label, n``, in buckets by vertex.
+
+    ``n`` is twice the links over which the label is heard, and one more for the vertex's own label.
+    So the largest ``n`` is odd where the vertex is content, and even where it wants that label. A move changes
+    the votes of the neighbours alone: only these changes are exchanged, the table stays in its buckets.
+    The votes of a vertex with very many links are spread by label, ``part``.
+    """
+
+    def __init__(self, scratch: Scratch, index: VertexIndex, links: dict[str, DataFrame]):
+        self.scratch, self.links = scratch, links
+        degrees = index.table.selectExpr("vid", "out_degree + in_degree AS degree")
+        self.hot = heaviest(degrees, "vid", "degree", at_most=index.max_out + index.max_in)
+        self.keys = ["vid"] if self.hot is None else ["vid", "part"]
+        cores = scratch.spark.sparkContext.defaultParallelism
+        self.buckets = max(cores, -(-(2 * index.n_links + index.n_vertices) // VOTES_PER_PARTITION))
+        self.name, self.table, self.done = None, None, 0
+
+    def add(self, changes: DataFrame) -> None:
+        """Write the table with ``changes``, ``vid, label, n``, added to it."""
+        if self.hot is not None:
+            part = F.coalesce(F.pmod(F.xxhash64("label"), "buckets"), F.lit(0)).cast("int")
+            changes = changes.join(F.broadcast(self.hot), "vid", "left").withColumn("part", part)
+        votes = changes.select(*self.keys, "label", "n").repartition(self.buckets, *self.keys)
+        if self.table is not None:
+            votes = self.table.unionByName(votes)
+        votes = votes.groupBy(*self.keys, "label").agg(F.sum("n").alias("n")).where("n > 0")
+        before, self.name, self.done = self.name, f"linkrank_votes_{uuid4().hex}", self.done + 1
+        writer = votes.write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+        writer.option("path", self.scratch.path(f"votes-{self.done}")).saveAsTable(self.name)
+        self.drop(before, self.done - 1)
+        self.table = self.scratch.spark.table(self.name)
+
+    def drop(self, name: str | None, done: int) -> None:
+        if name is not None:
+            self.scratch.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.scratch.drop(f"votes-{done}")
+
+    def wishes(self) -> DataFrame:
+        """``vid, label, best`` of those that want another label."""
+        # the smallest label of each number first: all that is compared then is numbers
+        smallest = self.table.groupBy(*self.keys, "n").agg(F.min("label").alias("label"))
+        return (
+            smallest.groupBy("vid")
+            .agg(
+                F.expr("max(label) FILTER (WHERE n % 2 = 1)").alias("label"),
+                F.max("n").alias("n"),
+                F.expr("max_by(struct(label), struct(n, -label))").alias("best")
+                if self.hot is not None  # parts may have the same number
+                else F.max_by("label", "n").alias("best"),
+            )
+            .selectExpr("vid", "label", "best.label AS best" if self.hot is not None else "best", "n")
+            .where("n % 2 = 0")
+            .drop("n")
+        )
+
+    def labels(self) -> DataFrame:
+        return self.table.where("n % 2 = 1").select("vid", "label")
+
+
+def _rounds_on_votes(
+    scratch: Scratch,
+    index: VertexIndex,
+    state: DataFrame,
+    links: dict[str, DataFrame],
+    max_iter: int | None,
+) -> tuple[list[tuple], DataFrame]:
+    """The history and ``vid, label``, with votes kept and changed next to moves."""
+    own = state.selectExpr("vid", "label", "1L AS n")
+    votes = _Votes(scratch, index, links)
+    votes.add(own.unionByName(_along(state, links, "label", "2L AS n")))
+    state = scratch.write(state.drop("degree", "label"), "own")
+    history, step, shift = [], 1, 0  # the draws of a round are those of the first times step, plus shift
+    while max_iter is None or len(history) < max_iter:
+        done = len(history) + 1
+        seen = Observation()
+        wishes = votes.wishes().join(
+            state.withColumn("draw", F.expr(f"(draw * {step}L + {shift}L) % {RANGE}L")), "vid"
+        )
+        wishes = scratch.write(wishes.observe(seen, F.count("vid").alias("wanting")), f"wishes-{done}")
+        wanting = seen.get["wanting"]
+        if not wanting:
+            scratch.drop(f"wishes-{done}")
+            history.append((done, 0, 0, True))
+            break
+        moves, moved = _largest_draws(scratch, wishes, links, f"moves-{done}")
+        heard = _along(moves, links, "inline(array(struct(label, -2L AS n), struct(best AS label, 2L AS n)))")
+        moving = moves.selectExpr(
+            "vid", "inline(array(struct(label, -1L AS n), struct(best AS label, 1L AS n)))"
+        )
+        votes.add(moving.unionByName(heard))
+        scratch.drop(f"wishes-{done}", f"moves-{done}", f"moves-{done}-equal")
+        history.append((done, wanting, moved, False))
+        step, shift = step * STEP % RANGE, (shift * STEP + SHIFT) % RANGE
+    labels = scratch.write(votes.labels(), "state")
+    votes.drop(votes.name, votes.done)
+    scratch.drop("own")
+    return history, labels
+
+
+def _largest_draws(
+    scratch: Scratch, wishes: DataFrame, links: dict[str, DataFrame], name: str
+) -> tuple[DataFrame, int]:
+    """Of ``wishes`` those whose draw is larger than that of all neighbours that want to, and their number.
+
+    Draws alone are compared along the links; the ids only where the largest one is the own one.
+    """
+    seen = Observation()
+    rivals = _along(wishes, links, "draw AS rival").groupBy("vid").agg(F.max("rival").alias("rival"))
+    faced = wishes.join(rivals, "vid", "left").where("rival IS NULL OR rival <= draw")
+    faced = faced.selectExpr(*wishes.columns, "rival <=> draw AS equal")
+    counts = (F.count("vid").alias("faced"), F.count_if("equal").alias("equal"))
+    moves = scratch.write(faced.observe(seen, *counts), name)
+    if not seen.get["equal"]:
+        return moves, seen.get["faced"]
+    equal = moves.where("equal").select("vid", "draw")
+    drawn = wishes.join(equal.select("draw").distinct(), "draw", "left_semi")
+    larger = _along(drawn, links, "draw", "sender AS other").join(equal, ["vid", "draw"])
+    larger = larger.groupBy("vid").agg(F.max("other").alias("other"))
+    moves = moves.join(larger, "vid", "left").where("other IS NULL OR other < vid").drop("other")
+    moves = scratch.write(moves, f"{name}-equal")
+    return moves, moves.count()
 
 
 def _along(state: DataFrame, links: dict[str, DataFrame], *columns: str) -> DataFrame:

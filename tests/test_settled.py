@@ -143,3 +143,47 @@ def test_limits_and_stored_graph(spark):
     empty = g.settled_label_rounds(*graph(spark, []))
     assert empty[0].count() == 0
     assert [tuple(row) for row in empty[1].collect()] == [(1, 0, 0, True)]
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_kept_votes_give_the_same_rounds(spark, monkeypatch, case):
+    monkeypatch.setattr(settled, "MANY_LINKS", 0)
+    monkeypatch.setattr(settled, "_wishes", None)  # votes are never counted anew
+    expected, rounds = plain(CASES[case])
+    labels, history = g.settled_label_rounds(*graph(spark, CASES[case]))
+    assert {row.id: row.label for row in labels.collect()} == expected
+    assert [tuple(row) for row in history.orderBy("iteration").collect()] == rounds
+
+
+@pytest.mark.parametrize("case", ["nulls", "other"])
+def test_kept_votes_of_hubs_and_equal_draws(spark, split_hubs, monkeypatch, case):
+    monkeypatch.setattr(settled, "RANGE", 8)  # few draws: many are equal
+    found = []
+    for least in (2**40, 0):  # counted anew, then kept
+        monkeypatch.setattr(settled, "MANY_LINKS", least)
+        labels, history = g.settled_label_rounds(*graph(spark, CASES[case]))
+        found.append((sorted(map(repr, labels.collect())), sorted(history.collect())))
+    assert found[0] == found[1]
+
+
+def test_kept_votes_stay_in_their_buckets(spark, monkeypatch):
+    """A round's changes are exchanged, the votes are not."""
+    monkeypatch.setattr(settled, "MANY_LINKS", 0)
+    added = []
+
+    def add(self, changes, add=settled._Votes.add):
+        if self.table is not None:
+            votes = self.table.unionByName(changes.repartition(self.buckets, "vid"))
+            text = votes.groupBy("vid", "label").count()._jdf.queryExecution().executedPlan().toString()
+            added.append(text[: text.index("Union")].count("Exchange"))
+            wishes = self.wishes()._jdf.queryExecution().executedPlan().toString()
+            added.append(wishes.count("Exchange"))
+        add(self, changes)
+
+    monkeypatch.setattr(settled._Votes, "add", add)
+    vertices, links = graph(spark, random_edges(5))
+    labels, history = g.settled_label_rounds(vertices, links, 2)
+    expected, rounds = plain(random_edges(5), 2)
+    assert {row.id: row.label for row in labels.collect()} == expected
+    assert [tuple(row) for row in history.collect()] == rounds
+    assert added == [0, 0, 0, 0]
