@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from linkrank.functions import part_count
+from linkrank.functions import columns, part_count
 from linkrank.plans import NumberedGraph, Scratch, spread, store_numbered
 
 HOPS = "hops int, n_pairs double, new_pairs double, share double"
@@ -35,50 +35,54 @@ def hits(
     """
     scratch, graph = _numbered(vertices, edges, numbered)
     links = {direction: graph.links(direction) for direction in ("out", "into")}
-    state = graph.index.table.select(
-        "vid",
-        part_count("out_degree").alias("out_parts"),
-        part_count("in_degree").alias("into_parts"),
-        F.lit(1.0).alias("hub"),
-        F.lit(0.0).alias("authority"),
-    )
+    index = graph.index.table
+    degrees = {"out": ("out_degree", graph.index.max_out), "into": ("in_degree", graph.index.max_in)}
+    parts = {way: _parts(index, degree, most) for way, (degree, most) in degrees.items()}
+    scores = {"hub": index.select("vid", F.lit(1.0).alias("score"))}
     norms = {"hub": 1.0, "authority": 1.0}
-    written = "start"
     for done in range(1, iterations + 1 if graph.index.n_links else 1):
         for direction, sent, made in (("out", "hub", "authority"), ("into", "authority", "hub")):
             seen = Observation()
-            half = _half_round(state, links[direction], direction, sent, made, norms[sent])
-            half = half.observe(seen, F.sum(F.col(made) * F.col(made)).alias("squares"))
-            state = scratch.write(half, f"{made}-{done}")
-            scratch.drop(written)
-            written, norms[made] = f"{made}-{done}", (seen.get["squares"] or 0.0) ** 0.5 or 1.0
-            norms[sent] = 1.0  # what was sent is stored scaled
-    if not graph.index.n_links:
-        state = state.withColumn("hub", F.lit(0.0))
-    scores = state.select("vid", *((F.col(k) / F.lit(norms[k])).alias(k) for k in norms))
-    named = graph.index.table.select("id", "vid").join(scores, "vid").select("id", "hub", "authority")
+            half = _half_round(scores[sent], links[direction], parts[direction], norms[sent])
+            half = half.observe(seen, F.sum(F.col("score") * F.col("score")).alias("squares"))
+            scores[made] = scratch.write(half, f"{made}-{done}")
+            scratch.drop(f"{made}-{done - 1}")
+            norms[made] = (seen.get["squares"] or 0.0) ** 0.5 or 1.0
+    named = index.select("id", "vid")
+    for kind in ("hub", "authority"):
+        if kind in scores and graph.index.n_links:
+            score = F.col("score") / F.lit(norms[kind])
+            named = named.join(scores[kind].select("vid", score.alias(kind)), "vid", "left")
+        else:
+            named = named.withColumn(kind, F.lit(None).cast("double"))
+    named = named.select("id", *(F.coalesce(kind, F.lit(0.0)).alias(kind) for kind in norms))
     result = scratch.write(named, "result")
     for one in links.values():
         one.unpersist()
-    scratch.drop(written)
+    scratch.drop(*(f"{kind}-{iterations}" for kind in norms))
     if numbered is None:
         graph.drop(scratch, "graph")
     return result
 
 
-def _half_round(
-    state: DataFrame, links: DataFrame, direction: str, sent: str, made: str, norm: float
-) -> DataFrame:
-    """The state with ``made`` summed up from the scaled ``sent``, which it keeps."""
-    scaled = f"{sent} / {norm!r}D"
-    senders = state.select("vid", F.col(f"{direction}_parts").alias("parts"), sent)
-    received = spread(senders, links, "NULL AS out_parts", "NULL AS into_parts", f"NULL AS {sent}",
-                      f"{scaled} AS {made}")
-    kept = state.selectExpr("vid", "out_parts", "into_parts", f"{scaled} AS {sent}", f"0D AS {made}")
-    return kept.union(received).groupBy("vid").agg(
-        *(F.max(name).alias(name) for name in ("out_parts", "into_parts", sent)),
-        F.sum(made).alias(made),
-    )
+def _parts(index: DataFrame, degree: str, most: int) -> DataFrame | None:
+    """``vid, parts`` of the vertices with several adjacency rows; None if no degree is that large."""
+    if most <= columns.LINKS_PER_PART:
+        return None
+    return index.select("vid", part_count(degree).alias("parts")).where("parts > 1")
+
+
+def _half_round(scores: DataFrame, links: DataFrame, parts: DataFrame | None, norm: float) -> DataFrame:
+    """``vid, score``: the scaled scores summed up along the links. Vertices that nothing arrives at have none.
+
+    Sums alone are made and exchanged; how many rows a vertex's links have is looked up where that is several.
+    """
+    scores = scores.where("score <> 0").selectExpr("vid", f"score / {norm!r}D AS score")
+    if parts is None:
+        senders = scores.withColumn("parts", F.lit(1))
+    else:
+        senders = scores.join(parts, "vid", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return spread(senders, links, "score").groupBy("vid").agg(F.sum("score").alias("score"))
 
 
 def hop_distribution(
