@@ -17,6 +17,7 @@ from linkrank.plans import (
     salted_join,
     spread,
 )
+from linkrank.plans import skew
 from linkrank.plans.layout import name_labels
 
 HISTORY = "iteration int, changed long, n_communities long, converged boolean"
@@ -58,11 +59,7 @@ def label_propagation_rounds(
     )
     history = []
     for done in range(1, max_iter + 1):
-        # counting by (vertex, label) first keeps a vertex with many links off a single task
-        votes = spread(state, adjacent, "label").groupBy("vid", "label").count()
-        winners = votes.groupBy("vid").agg(
-            F.expr("min_by(label, struct(-count, label)) AS winner")
-        )
+        winners = _winners(spread(state, adjacent, "label"), index.max_out)
         state = scratch.write(
             state.join(winners, "vid", "left").selectExpr(
                 "vid", "parts", "coalesce(winner, label) AS label", "label AS previous"
@@ -82,6 +79,22 @@ def label_propagation_rounds(
     return result, spark.createDataFrame(history, HISTORY)
 
 
+def _winners(heard: DataFrame, most: int) -> DataFrame:
+    """``vid, winner``: the label each vertex hears most, the smallest one if several are.
+
+    ``most`` is the largest number of labels one vertex hears. If that is no hot key, what is heard is exchanged once,
+    by vertex, and all else is done there. Else counting by (vertex, label) first keeps a vertex
+    with many links off a single task.
+    """
+    if most >= skew.HOT_ROWS:
+        votes = heard.groupBy("vid", "label").count()
+        return votes.groupBy("vid").agg(F.expr("min_by(label, struct(-count, label)) AS winner"))
+    votes = heard.repartition("vid").groupBy("vid", "label").count()
+    # the smallest label of each count first: then numbers alone are compared, which needs no sort
+    smallest = votes.groupBy("vid", "count").agg(F.min("label").alias("label"))
+    return smallest.groupBy("vid").agg(F.max_by("label", "count").alias("winner"))
+
+
 def community_sizes(communities: DataFrame) -> DataFrame:
     """``label, count``, largest first."""
     return (
