@@ -226,3 +226,32 @@ def test_every_hot_key_is_split(spark, monkeypatch):
     rows = spark.range(9_000).selectExpr("id % 3000 AS key", "id")
     table = spark.range(3_000).selectExpr("id AS key", "id * 2 AS value")
     assert salted_join(rows, table, "key", hot).where("value = 2 * key").count() == 9_000
+
+
+def test_half_rounds_exchange_sums_alone(spark, stored, no_broadcast, monkeypatch):
+    from linkrank.operators import spreading
+    from linkrank.plans import store_numbered
+
+    monkeypatch.setattr("linkrank.plans.layout.FEW_LINKS", 100)
+    graph = store_numbered(*stored, Scratch(spark).folder)
+    links = graph.links("out")
+    scores = graph.index.table.selectExpr("vid", "1D AS score")
+    assert spreading._parts(graph.index.table, "out_degree", graph.index.max_out) is None
+    text = without_cached(plan(spreading._half_round(scores, links, None, 2.0)))
+    # the scores to the links and the sums to their vertices; no state rides along
+    assert text.count("Exchange hashpartitioning") == 2 and "max(" not in text
+    links.unpersist()
+
+
+def test_votes_without_a_hot_vertex_are_exchanged_once(spark, no_broadcast, monkeypatch):
+    from linkrank.operators import communities
+
+    rows = [(1, 7), (1, 7), (1, 5), (2, 9), (2, 4), (2, 4), (2, 9), (3, 3)]
+    heard = spark.createDataFrame(rows, "vid long, label long")
+    once = communities._winners(heard, 4)
+    text = plan(once)
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text
+    monkeypatch.setattr("linkrank.plans.skew.HOT_ROWS", 4)
+    twice = communities._winners(heard, 4)
+    assert plan(twice).count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [(1, 7), (2, 4), (3, 3)]
