@@ -74,7 +74,8 @@ def resolve_page_ids(links: DataFrame, pages: DataFrame) -> DataFrame:
     dump is taken apart once."""
     links = Scratch(links.sparkSession).write(links, "links")
     users = links.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+    most = users.agg(F.max("n")).first()[0] or 0  # without a heavy page the links are not salted
     titles = pages.select(F.col("id").alias("source_id"), F.col("title").alias("src"))
     return salted_join(
-        links, titles, "source_id", heaviest(users, "source_id", "n")
+        links, titles, "source_id", heaviest(users, "source_id", "n", at_most=most)
     ).select("src", F.col("target_title").alias("dst"))

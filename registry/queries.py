@@ -75,7 +75,7 @@ def write_dump(spark: SparkSession, folder: str) -> str:
     )
     text = table(spark, folder, "lineitem").select(F.explode(lines).alias("value"))
     path = Scratch(spark).folder
-    text.write.option("compression", "gzip").text(path)
+    text.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
     return path
 
 

@@ -171,3 +171,14 @@ def test_csv_keeps_blanks_and_refuses_line_breaks(spark, tmp_path):
     broken = spark.createDataFrame([("l1\nl2", "z")], "source string, target string")
     with pytest.raises(Exception, match="line break in source"):
         s.write_csv(broken, str(tmp_path / "broken"))
+
+
+def test_resolving_salts_heavy_pages_alone(spark, monkeypatch):
+    links = spark.createDataFrame([(1, "a")] * 6 + [(2, "b"), (3, "c")], "source_id long, target_title string")
+    pages = spark.createDataFrame([(1, "one"), (2, "two")], "id long, title string")
+    expected = [("one", "a")] * 6 + [("two", "b")]
+    for least, salted in ((7, False), (6, True)):
+        monkeypatch.setattr("linkrank.plans.skew.HOT_ROWS", least)
+        found = s.resolve_page_ids(links, pages)
+        assert ("salt" in found._jdf.queryExecution().analyzed().toString()) == salted
+        assert sorted(map(tuple, found.collect())) == expected
