@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.operators.graph import dedup_edges
+from linkrank.sources.link_dump import _bytes
+
+BYTES_PER_PARTITION = 8 * 1024 * 1024  # of the stored lines: some 400,000 of them
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,11 +39,18 @@ def page_link_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_supplier_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Every customer links to the suppliers of the lines they ordered."""
+    """Every customer links to the suppliers of the lines they ordered.
+
+    The lines are dealt out by their stored size, so a task that joins and then deduplicates them holds few
+    of them however many there are.
+    """
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey"
     )
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
+    wanted = -(-_bytes(spark, lines.inputFiles()) // BYTES_PER_PARTITION)
+    if wanted > spark.sparkContext.defaultParallelism:
+        lines = lines.repartition(wanted, "l_orderkey")
     return lines.join(orders, "l_orderkey").select(
         F.concat(F.lit("c"), F.col("o_custkey")).alias("src"),
         F.concat(F.lit("s"), F.col("l_suppkey")).alias("dst"),

@@ -255,3 +255,14 @@ def test_votes_without_a_hot_vertex_are_exchanged_once(spark, no_broadcast, monk
     twice = communities._winners(heard, 4)
     assert plan(twice).count("Exchange hashpartitioning") == 2
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [(1, 7), (2, 4), (3, 3)]
+
+
+def test_customers_lines_are_dealt_out_by_their_size(spark, tables, no_broadcast, monkeypatch):
+    from registry import graphs
+
+    before = ROWS["cust_supp"](spark, tables)
+    monkeypatch.setattr(graphs, "BYTES_PER_PARTITION", 1024)
+    after = ROWS["cust_supp"](spark, tables)
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(l_orderkey#\d+L?, (\d+)\)", plan(after))]
+    assert dealt and min(dealt) > 8  # either side of the join
+    assert sorted(before.collect()) == sorted(after.collect())
