@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from linkrank.functions import part_count
 from linkrank.operators.spreading import _numbered
 from linkrank.plans import NumberedGraph, Scratch, heaviest, salted_join, spread
-from linkrank.plans.layout import VertexIndex, name_labels
+from linkrank.plans.layout import VertexIndex, adjacency, name_labels, write_buckets
 
 HISTORY = "iteration int, wanting long, moved long, converged boolean"
 SHARE = 0.25  # votes are counted only near the last moves where these hear no larger part of the links
 FEW_LINKS = 1_000_000  # of which all are heard again for less than finding out what is near
-MANY_LINKS = 4_000_000  # from which votes are kept as a table that moves change, not counted anew
+MANY_LINKS = 200_000  # from which votes are kept as a table that moves change, not counted anew
+LATE_SHARE = 0.125  # of the votes: changes beside the table, which come into it when they are more
+FEW_VOTES = 4_000_000  # of which all are read again for less than finding out which are new
+FEW_TOUCHED = 500_000  # changes of a round whose vertices are told to all tasks
 VOTES_PER_PARTITION = 2_000_000  # of that table: counting them takes some 540 MB of a task
 OWN = ("out_parts", "into_parts", "degree", "draw")  # what a vertex keeps besides its label
 STEP, SHIFT, RANGE = 1103515245, 12345, 2**31  # of the draws, a new one each round
@@ -52,7 +55,8 @@ def settled_label_rounds(
     ones, null among them, keep their label. A round costs two exchanges of what the links carry:
     labels combined by (vertex, label), and one largest draw per vertex. Votes change only next to a move:
     once few links are there, only those vertices ask for labels, and all others keep their wish.
-    From ``MANY_LINKS`` links the votes are a table that the moves of a round change: see :class:`_Votes`.
+    From ``MANY_LINKS`` links the votes are a table that the moves of a round change: see :class:`_Votes`. Draws are
+    then compared once a link, asked from the end with fewer links.
     """
     scratch, graph = _numbered(vertices, edges, numbered)
     spark = scratch.spark
@@ -122,42 +126,87 @@ class _Votes:
     ``n`` is twice the links over which the label is heard, and one more for the vertex's own label.
     So the largest ``n`` is odd where the vertex is content, and even where it wants that label. A move changes
     the votes of the neighbours alone: only these changes are exchanged, the table stays in its buckets.
+    Changes are summed up in a small table beside it, ``late``, and come into it when they are a part of
+    ``LATE_SHARE``. So a round writes what moves change, not all votes.
     The votes of a vertex with very many links are spread by label, ``part``.
     """
 
-    def __init__(self, scratch: Scratch, index: VertexIndex, links: dict[str, DataFrame]):
-        self.scratch, self.links = scratch, links
+    def __init__(self, scratch: Scratch, index: VertexIndex):
+        self.scratch = scratch
         degrees = index.table.selectExpr("vid", "out_degree + in_degree AS degree")
         self.hot = heaviest(degrees, "vid", "degree", at_most=index.max_out + index.max_in)
         self.keys = ["vid"] if self.hot is None else ["vid", "part"]
         cores = scratch.spark.sparkContext.defaultParallelism
         self.buckets = max(cores, -(-(2 * index.n_links + index.n_vertices) // VOTES_PER_PARTITION))
-        self.name, self.table, self.done = None, None, 0
+        self.name, self.table, self.late, self.n_votes, self.n_new, self.done = None, None, None, 0, 0, 0
 
     def add(self, changes: DataFrame) -> None:
-        """Write the table with ``changes``, ``vid, label, n``, added to it."""
+        """Add ``changes``, ``vid, label, n``, to the votes."""
         if self.hot is not None:
             part = F.coalesce(F.pmod(F.xxhash64("label"), "buckets"), F.lit(0)).cast("int")
             changes = changes.join(F.broadcast(self.hot), "vid", "left").withColumn("part", part)
-        votes = changes.select(*self.keys, "label", "n").repartition(self.buckets, *self.keys)
-        if self.table is not None:
-            votes = self.table.unionByName(votes)
-        votes = votes.groupBy(*self.keys, "label").agg(F.sum("n").alias("n")).where("n > 0")
-        before, self.name, self.done = self.name, f"linkrank_votes_{uuid4().hex}", self.done + 1
-        writer = votes.write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
-        writer.option("path", self.scratch.path(f"votes-{self.done}")).saveAsTable(self.name)
-        self.drop(before, self.done - 1)
-        self.table = self.scratch.spark.table(self.name)
-
-    def drop(self, name: str | None, done: int) -> None:
+        votes = changes.select(*self.keys, "label", "n")
+        self.done += 1
+        if self.table is None:
+            self._write(votes.repartition(self.buckets, *self.keys))
+            return
+        votes, seen = votes.withColumn("new", F.lit(True)), Observation()
+        if self.late is not None:
+            votes = self.late.withColumn("new", F.lit(False)).unionByName(votes)
+        votes = votes.groupBy(*self.keys, "label").agg(F.sum("n").alias("n"), F.max("new").alias("new"))
+        # what adds up to nothing still tells that the vertex heard something new
+        votes = votes.where("n <> 0 OR new")
+        votes = votes.observe(seen, F.count("vid").alias("n"), F.count_if("new").alias("new"))
+        self.late = self.scratch.write(votes, f"late-{self.done}")
+        self.scratch.drop(f"late-{self.done - 1}")
+        self.n_new = seen.get["new"]
+        if seen.get["n"] > LATE_SHARE * self.n_votes:
+            self._write(self._all())
+
+    def _write(self, votes: DataFrame) -> None:
+        """Write the table, with what was beside it."""
+        votes, seen = votes.groupBy(*self.keys, "label").agg(F.sum("n").alias("n")).where("n > 0"), Observation()
+        votes = votes.observe(seen, F.count("vid").alias("n"))
+        before, self.name = self.name, f"linkrank_votes_{uuid4().hex}"
+        self.table = write_buckets(votes, self.buckets, self.keys, self.name, self.scratch.path(self.name))
+        self.n_votes, self.late = seen.get["n"], None
+        self._forget(before)
+
+    def _forget(self, name: str | None) -> None:
         if name is not None:
             self.scratch.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.scratch.drop(f"votes-{done}")
+            self.scratch.drop(name)
+        self.scratch.drop(f"late-{self.done}")
+
+    def drop(self) -> None:
+        self._forget(self.name)
+
+    def touched(self) -> DataFrame | None:
+        """``vid`` of those that the last changes were for, moves and neighbours; None if all are to be looked at."""
+        if self.late is None or self.n_votes <= FEW_VOTES or self.n_new > FEW_TOUCHED:
+            return None
+        return F.broadcast(self.late.where("new").select("vid"))
+
+    def _all(self, touched: DataFrame | None = None) -> DataFrame:
+        """The rows of the table and those beside it, of the vertices ``touched`` if given."""
+        if self.late is None:
+            return self.table
+        late = self.late.select(*self.keys, "label", "n")
+        if touched is None:
+            return self.table.unionByName(late.repartition(self.buckets, *self.keys))
+        return self.table.join(touched, "vid", "left_semi").select(*late.columns).unionByName(
+            late.join(touched, "vid", "left_semi").select(*late.columns)
+        )
+
+    def _summed(self, touched: DataFrame | None = None) -> DataFrame:
+        if self.late is None:
+            return self.table
+        return self._all(touched).groupBy(*self.keys, "label").agg(F.sum("n").alias("n")).where("n > 0")
 
-    def wishes(self) -> DataFrame:
-        """``vid, label, best`` of those that want another label."""
+    def wishes(self, touched: DataFrame | None = None) -> DataFrame:
+        """``vid, label, best`` of those that want another label, of all or of the vertices ``touched``."""
         # the smallest label of each number first: all that is compared then is numbers
-        smallest = self.table.groupBy(*self.keys, "n").agg(F.min("label").alias("label"))
+        smallest = self._summed(touched).groupBy(*self.keys, "n").agg(F.min("label").alias("label"))
         return (
             smallest.groupBy("vid")
             .agg(
@@ -173,7 +222,7 @@ class _Votes:
         )
 
     def labels(self) -> DataFrame:
-        return self.table.where("n % 2 = 1").select("vid", "label")
+        return self._summed().where("n % 2 = 1").select("vid", "label")
 
 
 def _rounds_on_votes(
@@ -183,61 +232,83 @@ def _rounds_on_votes(
     links: dict[str, DataFrame],
     max_iter: int | None,
 ) -> tuple[list[tuple], DataFrame]:
-    """The history and ``vid, label``, with votes kept and changed next to moves."""
+    """The history and ``vid, label``, with votes kept and changed next to moves.
+
+    Who wants what is kept as well: after a round it is found anew for those alone that a move touched.
+    """
+    votes = _Votes(scratch, index)
     own = state.selectExpr("vid", "label", "1L AS n")
-    votes = _Votes(scratch, index, links)
     votes.add(own.unionByName(_along(state, links, "label", "2L AS n")))
-    state = scratch.write(state.drop("degree", "label"), "own")
+    lesser = _at_lesser_ends(index, state, links["out"], votes.hot)
+    name = f"linkrank_own_{uuid4().hex}"
+    own = state.select("vid", "out_parts", "into_parts", part_count("degree").alias("all_parts"), "draw")
+    own = own.repartition(votes.buckets, "vid")
+    own = write_buckets(own, votes.buckets, ["vid"], name, scratch.path("own"))
     history, step, shift = [], 1, 0  # the draws of a round are those of the first times step, plus shift
+    wishes = None
     while max_iter is None or len(history) < max_iter:
         done = len(history) + 1
+        touched = None if wishes is None else votes.touched()
+        # all are in ``own``; an inner join would filter the votes, whose buckets are then not seen in their union
+        found = votes.wishes(touched).join(own, "vid", "left")
+        if touched is not None:
+            found = wishes.join(touched, "vid", "left_anti").unionByName(found)
         seen = Observation()
-        wishes = votes.wishes().join(
-            state.withColumn("draw", F.expr(f"(draw * {step}L + {shift}L) % {RANGE}L")), "vid"
-        )
-        wishes = scratch.write(wishes.observe(seen, F.count("vid").alias("wanting")), f"wishes-{done}")
+        found = found.observe(seen, F.count("vid").alias("wanting"))
+        wishes = scratch.write(found, f"wishes-{done}")
+        scratch.drop(f"wishes-{done - 1}", f"moves-{done - 1}")
         wanting = seen.get["wanting"]
         if not wanting:
-            scratch.drop(f"wishes-{done}")
             history.append((done, 0, 0, True))
             break
-        moves, moved = _largest_draws(scratch, wishes, links, f"moves-{done}")
+        seen = Observation()
+        draw = f"(draw * {step}L + {shift}L) % {RANGE}L"
+        moves = _largest_draws(wishes.withColumn("draw", F.expr(draw)), lesser, votes.hot)
+        moves = scratch.write(moves.observe(seen, F.count("vid").alias("moved")), f"moves-{done}")
         heard = _along(moves, links, "inline(array(struct(label, -2L AS n), struct(best AS label, 2L AS n)))")
         moving = moves.selectExpr(
             "vid", "inline(array(struct(label, -1L AS n), struct(best AS label, 1L AS n)))"
         )
         votes.add(moving.unionByName(heard))
-        scratch.drop(f"wishes-{done}", f"moves-{done}", f"moves-{done}-equal")
-        history.append((done, wanting, moved, False))
+        history.append((done, wanting, seen.get["moved"], False))
         step, shift = step * STEP % RANGE, (shift * STEP + SHIFT) % RANGE
     labels = scratch.write(votes.labels(), "state")
-    votes.drop(votes.name, votes.done)
-    scratch.drop("own")
+    votes.drop()
+    lesser.unpersist()
+    scratch.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    scratch.drop("own", f"wishes-{len(history)}", f"moves-{len(history)}")
     return history, labels
 
 
-def _largest_draws(
-    scratch: Scratch, wishes: DataFrame, links: dict[str, DataFrame], name: str
-) -> tuple[DataFrame, int]:
-    """Of ``wishes`` those whose draw is larger than that of all neighbours that want to, and their number.
+def _at_lesser_ends(
+    index: VertexIndex, state: DataFrame, links: DataFrame, hot: DataFrame | None
+) -> DataFrame:
+    """Adjacency rows that have every link once, at the end with fewer links; the caller unpersists them.
 
-    Draws alone are compared along the links; the ids only where the largest one is the own one.
+    So asking along the links of some vertices costs little even if they are linked with hubs that ask as well.
     """
-    seen = Observation()
-    rivals = _along(wishes, links, "draw AS rival").groupBy("vid").agg(F.max("rival").alias("rival"))
-    faced = wishes.join(rivals, "vid", "left").where("rival IS NULL OR rival <= draw")
-    faced = faced.selectExpr(*wishes.columns, "rival <=> draw AS equal")
-    counts = (F.count("vid").alias("faced"), F.count_if("equal").alias("equal"))
-    moves = scratch.write(faced.observe(seen, *counts), name)
-    if not seen.get["equal"]:
-        return moves, seen.get["faced"]
-    equal = moves.where("equal").select("vid", "draw")
-    drawn = wishes.join(equal.select("draw").distinct(), "draw", "left_semi")
-    larger = _along(drawn, links, "draw", "sender AS other").join(equal, ["vid", "draw"])
-    larger = larger.groupBy("vid").agg(F.max("other").alias("other"))
-    moves = moves.join(larger, "vid", "left").where("other IS NULL OR other < vid").drop("other")
-    moves = scratch.write(moves, f"{name}-equal")
-    return moves, moves.count()
+    degrees = state.select("vid", F.col("degree").alias("total"))
+    senders = state.selectExpr("vid", "vid AS sender", "out_parts AS parts", "degree AS total")
+    ends = spread(senders, links, "sender", "total AS sent").where("vid <> sender")
+    ends = salted_join(ends, degrees, "vid", hot)
+    lesser = "struct(sent, sender) < struct(total, vid)"
+    ends = ends.selectExpr(
+        f"IF({lesser}, sender, vid) AS vid", f"IF({lesser}, vid, sender) AS target", "least(sent, total) AS degree"
+    )
+    return adjacency(ends, index.n_links)
+
+
+def _largest_draws(wishes: DataFrame, lesser: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Of ``wishes`` those whose draw is larger than that of all neighbours that want to.
+
+    Every link between two that want to is met once, from its lesser end: the smaller draw loses, the smaller id
+    if draws are equal.
+    """
+    senders = wishes.selectExpr("vid", "vid AS sender", "all_parts AS parts", "draw AS sent")
+    met = spread(senders, lesser, "sender", "sent")
+    met = salted_join(met, wishes.select("vid", "draw"), "vid", hot)
+    losers = met.selectExpr("IF(struct(sent, sender) < struct(draw, vid), sender, vid) AS vid").distinct()
+    return wishes.join(losers, "vid", "left_anti")
 
 
 def _along(state: DataFrame, links: dict[str, DataFrame], *columns: str) -> DataFrame:
