@@ -106,12 +106,6 @@ def partitions_for(frame: DataFrame, n_links: int) -> int:
     return max(worthwhile, -(-n_links // LINKS_PER_PARTITION), 1)
 
 
-def write_buckets(rows: DataFrame, buckets: int, keys: list[str], name: str, path: str) -> DataFrame:
-    """Write ``rows``, partitioned by ``keys``, as the table ``name`` in buckets by them."""
-    rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
-    return rows.sparkSession.table(name)
-
-
 def spread(state: DataFrame, adjacent: DataFrame, *columns: str) -> DataFrame:
     """Send every state row along its vertex's links: one row per link.
 
