@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkrank import operators as g
 from linkrank.operators import settled
@@ -187,3 +188,51 @@ def test_kept_votes_stay_in_their_buckets(spark, monkeypatch):
     assert {row.id: row.label for row in labels.collect()} == expected
     assert [tuple(row) for row in history.collect()] == rounds
     assert added == [0, 0, 0, 0]
+
+
+@pytest.mark.parametrize("case, changes", [("random", 0), ("star", 1)])
+def test_kept_votes_with_draws_told_by_few(spark, monkeypatch, case, changes):
+    """Small draws are not told but asked for, and changes of the votes are sorted where they are many."""
+    monkeypatch.setattr(settled, "MANY_LINKS", 0)
+    monkeypatch.setattr(settled, "FEW_TOLD", -1)
+    monkeypatch.setattr(settled, "FEW_CHANGES", changes)
+    floors, floor = [], settled._floor
+    monkeypatch.setattr(settled, "_floor", lambda *sizes: floors.append(floor(*sizes)) or floors[-1])
+    expected, rounds = plain(CASES[case])
+    labels, history = g.settled_label_rounds(*graph(spark, CASES[case]))
+    assert {row.id: row.label for row in labels.collect()} == expected
+    assert [tuple(row) for row in history.orderBy("iteration").collect()] == rounds
+    assert 0 < floors[0] < settled.RANGE
+
+
+def test_kept_votes_of_split_hubs_told_by_few(spark, split_hubs, monkeypatch):
+    monkeypatch.setattr(settled, "MANY_LINKS", 0)
+    monkeypatch.setattr(settled, "FEW_TOLD", -1)
+    monkeypatch.setattr(settled, "FEW_CHANGES", 0)
+    labels, history = g.settled_label_rounds(*graph(spark, CASES["other"]))
+    expected, rounds = plain(CASES["other"])
+    assert {row.id: row.label for row in labels.collect()} == expected
+    assert [tuple(row) for row in history.orderBy("iteration").collect()] == rounds
+
+
+def test_kept_votes_are_a_row_for_each_vertex(spark, monkeypatch):
+    monkeypatch.setattr(settled, "MANY_LINKS", 0)
+    sizes = []
+
+    def add(self, changes, add=settled._Votes.add):
+        if self.lists is not None:
+            lists = changes.repartition(self.buckets, "vid").groupBy("vid").agg(
+                F.expr("collect_list(struct(n, -label AS back)) AS changes")
+            )
+            text = self._merged(lists)._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in text[: text.index("linkrank_votes_")]  # the lists stay where they are
+        add(self, changes)
+        sizes.append((self.lists.count(), self.table.count()))
+
+    monkeypatch.setattr(settled._Votes, "add", add)
+    vertices, links = graph(spark, random_edges(5))
+    g.settled_label_rounds(vertices, links, 2)
+    heard = {frozenset(edge) for edge in random_edges(5) if edge[0] != edge[1]}
+    assert [rows for rows, votes in sizes] == [vertices.count()] * 3
+    assert sizes[0][1] == vertices.count() + 2 * len(heard)  # the own label, and each neighbour's
+    assert sizes[2][1] < sizes[0][1]
